@@ -199,3 +199,12 @@ def usage_log(spark: SparkSession, folder: str, name: str) -> DataFrame:
     table = spark.sql(f"with {', '.join(reads)} {DERIVATIONS[name]}")
     zoned = [f.name for f in table.schema if isinstance(f.dataType, T.TimestampType)]
     return table.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
+
+
+def usage_log_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A derived table as a stream over the files of its single base table."""
+    (table,) = inputs_of(name)
+    schema = base_table(spark, folder, table).schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    derived = DERIVATIONS[name].replace(f"from {table}", f"from {{{table}}}")
+    return spark.sql(derived, **{table: files.parquet(folder)})

@@ -1,2 +1,136 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from meterlens.plans import ingest
+from meterlens.sources import pages
+from meterlens.sources.dated import read_by_day
+from meterlens.sources.usage_logs import base_table, usage_log, usage_log_stream
+from meterlens.sources.workdir import work_folder
+from meterlens.streaming.backup import stream_backup
+from registry.base import ORDERS_AS_OF, oracle, plain_types, query, report
+
+STARTED = dt.datetime(1998, 7, 1, 6, 0, 0)
+PAGE_ROWS = 100
+
+
+def _initial(log):
+    history = log("query_history")
+    dest = work_folder(history.sparkSession, "backup")
+    return ingest.backup_initial(history, dest, "start_time", "query_history", STARTED)
+
+
+def _delta(log):
+    """A copy that ends in the middle of a day, brought up to date and tried again."""
+    history = log("query_history")
+    dest = work_folder(history.sparkSession, "backup")
+    older = history.where(F.col("start_time") < F.lit(dt.datetime(1998, 6, 10, 12)).cast("timestamp_ntz"))
+    first = ingest.backup_initial(older, dest, "start_time", "query_history", STARTED)
+    runs = [
+        ingest.backup_delta(history, dest, "start_time", "query_history", ORDERS_AS_OF, STARTED)
+        for _ in range(2)
+    ]
+    return first.unionByName(runs[0]).unionByName(runs[1])
+
+
+def _purged(log):
+    history = log("query_history")
+    spark = history.sparkSession
+    dest = work_folder(spark, "backup")
+    ingest.backup_initial(history, dest, "start_time", "query_history", STARTED)
+    purged = ingest.purge_older_than(spark, dest, ORDERS_AS_OF)
+    return purged.withColumn("kept", F.lit(read_by_day(spark, dest).count()))
+
+
+def _pages(log):
+    """Service pages saved as files, flattened, written as CSV and read back."""
+    records = log("api_pages")
+    spark = records.sparkSession
+    body = F.expr("listagg(record_json, ',') within group (order by row_no)")
+    listed = records.groupBy("endpoint", "page_no").agg(body.alias("body"))
+    bare = F.concat(F.lit("["), "body", F.lit("]"))
+    wrapped = F.concat(F.lit('{"results":['), "body", F.lit("]}"))
+    payload = F.when(F.col("page_no") % 2 == 0, bare).otherwise(wrapped).alias("payload")
+    folder = work_folder(spark, "pages")
+    listed.select("endpoint", "page_no", payload).write.partitionBy("endpoint", "page_no").text(
+        folder
+    )
+    flat = pages.flatten_pages(pages.read_saved_pages(spark, folder), "users", PAGE_ROWS)
+    path = pages.write_endpoint_csv(flat, "/users/", work_folder(spark, "exports"))
+    return spark.read.option("header", True).csv(path)
+
+
+def _joined(spark, folder):
+    names = base_table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("id"), F.concat(F.lit("order "), "o_orderkey").alias("name")
+    )
+    values = base_table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("value")
+    )
+    return plain_types(ingest.join_and_save(names, values, work_folder(spark, "joined")))
+
+
+def _stream(spark, folder):
+    run = stream_backup(
+        usage_log_stream(spark, folder, "query_history"), work_folder(spark, "stream-backup"),
+        "start_time",
+    )
+    return plain_types(spark.read.parquet(run.counts))
+
+
+QUERIES = {
+    "i01_flatten_attributes": report(ingest.flatten_attributes, "attributes"),
+    "i02_backup_initial": query(_initial),
+    "i03_backup_delta": query(_delta),
+    "i04_purge_older_than": query(_purged),
+    "i05_flatten_pages": query(_pages),
+    "i06_join_and_save": _joined,
+    "i07_audit_rows": report(
+        ingest.audit_rows, "query_history", column="start_time", table="query_history",
+        load_type="initial", start_time=STARTED,
+    ),
+    "i08_stream_backup": _stream,
+}
+
+
+def _audit(load_type: str, where: str) -> str:
+    return f"""select cast(start_time as date) as run_date, 'query_history' as table_name,
+  '{load_type}' as load_type, '1998-07-01 06:00:00' as start_time, count(*) as row_count
+from query_history where {where} group by 1"""
+
+
+ORACLES = {
+    "i01_flatten_attributes": oracle("""
+select id, unnest(from_json(ids, '["varchar"]')) as individual_id,
+  json_extract_string(attributes, '$.flag') as flag, json_extract_string(attributes, '$.k') as k,
+  json_extract_string(attributes, '$.n') as n
+from attributes"""),
+    "i02_backup_initial": oracle(_audit("initial", "true")),
+    "i03_backup_delta": oracle(
+        _audit("initial", "start_time < timestamp '1998-06-10 12:00:00'")
+        + " union all "
+        + _audit(
+            "delta",
+            """start_time > (select max(start_time) from query_history
+  where start_time < timestamp '1998-06-10 12:00:00')
+  and cast(start_time as date) <= date '1998-06-28'""",
+        )
+    ),
+    "i04_purge_older_than": oracle("""
+select count(*) filter (where start_time < date '1995-06-28') as counted,
+  count(*) filter (where start_time < date '1995-07-01') as deleted,
+  count(*) filter (where start_time >= date '1995-07-01') as kept
+from query_history"""),
+    "i05_flatten_pages": """
+select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as "profile.segment",
+  cast(c_nationkey as varchar) as "profile.nation" from customer""",
+    "i06_join_and_save": """
+select o_custkey as id, 'order ' || cast(o_orderkey as varchar) as name, c_acctbal as value
+from orders join customer on o_custkey = c_custkey""",
+    "i07_audit_rows": oracle(_audit("initial", "true")),
+    "i08_stream_backup": oracle("""
+select cast(start_time as date) as run_date, count(*) as row_count from query_history
+group by 1
+having cast(start_time as date) + interval 1 day
+  <= (select max(start_time) from query_history) - interval 3 day"""),
+}
