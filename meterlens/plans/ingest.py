@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from meterlens.functions.dates import DAY, shift_months, to_day
 from meterlens.functions.text import canonical_scalar
 from meterlens.sources.dated import (
-    DAY_COLUMN,
-    drop_day_partitions,
-    read_by_day,
-    write_by_day,
+    day_of_rows,
+    drop_rows_before,
+    newest_value,
+    period_column,
+    write_dated,
 )
 
-ALREADY_LOADED = "Already loaded the latest data till D-3 days"
-
 
 def flatten_attributes(
     df: DataFrame, id: str = "id", ids: str = "ids", attributes: str = "attributes",
@@ -63,78 +62,65 @@ def _audit(days: DataFrame, table: str, load_type: str, start_time: dt.datetime)
     )
 
 
-def _written_days(copy: DataFrame) -> DataFrame:
-    """The day of every row, from the partition folders alone (no data column is read)."""
-    return copy.select(F.col(DAY_COLUMN).alias("run_date"))
-
-
 def backup_initial(
     source: DataFrame, dest: str, column: str, table: str, start_time: dt.datetime,
-    limit: int | None = None,
+    limit: int | None = None, unit: str = "day",
 ) -> DataFrame:
-    """Copy a table by day of ``column``; fails if the copy exists. Returns audit rows.
+    """Copy a table, partitioned by ``column``; fails if the copy exists.
 
-    With ``limit`` only that many rows are copied (a trial run) and one audit row of the
-    whole run is returned.
+    Returns audit rows per day. With ``limit`` only that many rows are copied (a trial
+    run) and one audit row of the whole run is returned.
     """
-    write_by_day(source if limit is None else source.limit(limit), dest, column, "errorifexists")
-    copied = read_by_day(source.sparkSession, dest)
-    if limit is None:
-        return _audit(_written_days(copied), table, "initial", start_time)
-    return _audit(
-        copied.select(F.lit(start_time.date()).alias("run_date")), table, "initial", start_time
-    )
-
-
-def newest_loaded(spark: SparkSession, dest: str, column: str) -> dt.datetime | None:
-    """Latest value of ``column`` in a copy, read from its newest day only."""
-    copied = read_by_day(spark, dest)
-    newest_day = copied.agg(F.max(DAY_COLUMN)).first()[0]
-    if newest_day is None:
-        return None
-    last = copied.where(F.col(DAY_COLUMN) == F.lit(newest_day))
-    return last.agg(F.max(column)).first()[0]
+    rows = source if limit is None else source.limit(limit)
+    write_dated(rows, dest, column, "errorifexists", unit)
+    copied = source.sparkSession.read.parquet(dest)
+    day = day_of_rows(copied, column) if limit is None else F.lit(start_time.date())
+    return _audit(copied.select(day.alias("run_date")), table, "initial", start_time)
 
 
 def backup_delta(
     source: DataFrame, dest: str, column: str, table: str, as_of: dt.date | str,
-    start_time: dt.datetime, lag_days: int = 3, strict: bool = False,
+    start_time: dt.datetime, lag_days: int = 3, strict: bool = False, unit: str = "day",
 ) -> DataFrame:
     """Append the rows newer than the copy, up to ``lag_days`` before ``as_of``.
 
     Returns audit rows per day, none if the copy is already up to date. An empty copy
     loads everything up to the lag; ``strict`` makes it count as up to date instead.
     """
-    spark, bound = source.sparkSession, to_day(as_of) - lag_days * DAY
-    newest = newest_loaded(spark, dest, column)
+    bound = to_day(as_of) - lag_days * DAY
+    newest = newest_value(source.sparkSession.read.parquet(dest), column)
     up_to_date = strict if newest is None else newest >= dt.datetime.combine(bound, dt.time())
     delta = source.where(F.col(column) < F.lit(bound + DAY))
-    if up_to_date:
-        delta = delta.where(F.lit(False))
-    elif newest is not None:
+    if newest is not None:
         delta = delta.where(F.col(column) > F.lit(newest).cast("timestamp_ntz"))
-    if not up_to_date:
-        write_by_day(delta, dest, column, "append")
+    if up_to_date:
+        delta = delta.limit(0)
+    else:
+        write_dated(delta, dest, column, "append", unit)
     return audit_rows(delta, column, table, "delta", start_time)
 
 
 def purge_older_than(
-    spark: SparkSession, path: str, as_of: dt.date | str, years: int = 3, lag_days: int = 3
+    spark: SparkSession, path: str, column: str, as_of: dt.date | str, years: int = 3,
+    lag_days: int = 3,
 ) -> DataFrame:
-    """Remove the days older than some years from a table partitioned by day.
+    """Remove rows older than some years from a partitioned copy and report how many.
 
-    The cutoff is a midnight, so it falls between two partitions and no file has to be
-    rewritten. ``counted`` uses a cutoff some days earlier than ``deleted`` does.
+    ``counted`` uses a cutoff some days earlier than ``deleted`` does. Counting reads
+    the expired partitions only.
     """
     day = to_day(as_of)
     cutoff = shift_months(day, -12 * years)
     earlier = shift_months(day - lag_days * DAY, -12 * years)
-    old = read_by_day(spark, path).where(F.col(DAY_COLUMN) < F.lit(cutoff))
+    table = spark.read.parquet(path)
+    old = table.where(
+        (F.col(period_column(table)) < F.lit(cutoff)) & (F.col(column) < F.lit(cutoff))
+    )
     counts = old.agg(
-        F.count_if(F.col(DAY_COLUMN) < F.lit(earlier)).alias("counted"),
+        F.count_if(F.col(column) < F.lit(earlier)).alias("counted"),
         F.count(F.lit(1)).alias("deleted"),
     ).first()
-    drop_day_partitions(spark, path, cutoff)
+    drop_rows_before(spark, path, column, cutoff)
     return spark.createDataFrame([tuple(counts)], "counted bigint, deleted bigint")
 
 

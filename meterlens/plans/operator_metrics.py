@@ -16,7 +16,7 @@ from meterlens.functions import fixed_values as fixed
 from meterlens.functions.dates import last_days, to_day
 from meterlens.operators.joins import broadcast_up_to
 from meterlens.operators.ordering import with_previous
-from meterlens.sources.dated import add_day_partition, day_partitions, drop_day_partitions
+from meterlens.sources.dated import drop_partitions, overwrite_periods, partition_days
 
 WINDOWS = {"7_days": (6, 0), "8_14_days": (14, 8)}
 FLAGS = (
@@ -201,9 +201,9 @@ def load_metric_summary(
 ) -> DataFrame:
     """Daily load of the summary: once per day, older days expired first."""
     spark, day = query_history.sparkSession, to_day(as_of)
-    loaded = day_partitions(spark, store)
+    loaded, oldest = partition_days(spark, store), day - dt.timedelta(days=keep_days)
     if not loaded or max(loaded) != day:
-        drop_day_partitions(spark, store, day - dt.timedelta(days=keep_days))
+        drop_partitions(spark, store, [old for old in loaded if old < oldest])
         summary = operator_metric_summary(query_history, operators, day, top_n=top_n)
-        add_day_partition(summary, store, "load_date")
+        overwrite_periods(summary, store, "load_date")
     return spark.read.parquet(store)

@@ -1,67 +1,117 @@
-"""Parquet tables partitioned by day.
+"""Parquet tables partitioned by day or month.
 
-Expiring or replacing days touches whole partition folders only; no plan reads and
-overwrites the same files.
+Choose the unit so that one partition holds at least some hundred megabytes. Expiring
+or replacing periods touches whole partition folders; no plan reads and overwrites the
+same files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DAY_COLUMN = "_day"
+from meterlens.functions.dates import DAY, shift_months
+from meterlens.sources.workdir import work_folder
 
+UNITS = {"day": "_day", "month": "_month"}
 
-def write_by_day(df: DataFrame, path: str, column: str, mode: str) -> None:
-    """Write with one folder per day of ``column``.
 
-    The rebalance hint lets Spark split large days over several tasks and files and
-    merge small ones.
-    """
-    dated = df.withColumn(DAY_COLUMN, F.to_date(column)).hint("rebalance", DAY_COLUMN)
-    dated.write.mode(mode).partitionBy(DAY_COLUMN).parquet(path)
+def with_period(df: DataFrame, column: str, unit: str) -> DataFrame:
+    """Adds the partition column: the first day of the row's period."""
+    day = F.to_date(column)
+    return df.withColumn(UNITS[unit], day if unit == "day" else F.trunc(day, unit))
 
 
-def read_by_day(spark: SparkSession, path: str) -> DataFrame:
-    """The table, with the day as a prunable extra column."""
-    return spark.read.parquet(path)
+def write_dated(df: DataFrame, path: str, column: str, mode: str, unit: str = "day") -> None:
+    """Write with one folder per period of ``column``.
+
+    The rebalance hint lets Spark split large periods over several tasks and files and
+    merge small ones.
+    """
+    period = UNITS[unit]
+    dated = with_period(df, column, unit).hint("rebalance", period)
+    dated.write.mode(mode).partitionBy(period).parquet(path)
 
 
-def add_day_partition(df: DataFrame, path: str, day: str) -> None:
-    """Write the days contained in ``df``, replacing those days only."""
+def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
+    """Write the periods contained in ``df``, replacing those only."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
+        .partitionBy(period)
         .parquet(path)
     )
 
 
+def period_column(table: DataFrame) -> str:
+    """The partition column of a table written by ``write_dated``."""
+    return next(name for name in UNITS.values() if name in table.columns)
+
+
+def day_of_rows(table: DataFrame, column: str) -> Column:
+    """The day of every row; from the folder names alone if the table is kept by day."""
+    by_day = UNITS["day"] in table.columns
+    return F.col(UNITS["day"]) if by_day else F.to_date(column)
+
+
+def newest_value(table: DataFrame, column: str) -> dt.datetime | None:
+    """Latest value of the time column, read from the newest partition only."""
+    period = period_column(table)
+    newest = table.agg(F.max(period)).first()[0]
+    if newest is None:
+        return None
+    return table.where(F.col(period) == F.lit(newest)).agg(F.max(column)).first()[0]
+
+
 def _partition_folders(spark: SparkSession, path: str):
-    """File system and ``(day, folder)`` of each day partition (metadata only)."""
+    """File system and ``{first day: folder}`` of the partitions (metadata only)."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
+    found = {}
     if files.exists(hadoop):
         for status in files.listStatus(hadoop):
             value = status.getPath().getName().partition("=")[2]
             try:
-                found.append((dt.date.fromisoformat(value), status.getPath()))
-            except ValueError:  # rows without a day, commit markers
+                found[dt.date.fromisoformat(value)] = status.getPath()
+            except ValueError:  # rows without a time, commit markers
                 continue
     return files, found
 
 
-def day_partitions(spark: SparkSession, path: str) -> list[dt.date]:
-    return sorted(day for day, _ in _partition_folders(spark, path)[1])
+def partition_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """First day of each partition."""
+    return sorted(_partition_folders(spark, path)[1])
 
 
-def drop_day_partitions(spark: SparkSession, path: str, before: dt.date) -> list[dt.date]:
-    """Delete the partitions of all days before a date; safe to repeat after a failure."""
+def drop_partitions(spark: SparkSession, path: str, days: list[dt.date]) -> None:
+    """Delete whole partitions; safe to repeat after a failure."""
     files, found = _partition_folders(spark, path)
-    dropped = sorted((day, folder) for day, folder in found if day < before)
-    for _, folder in dropped:
-        files.delete(folder, True)
-    return [day for day, _ in dropped]
+    for day in days:
+        if day in found:
+            files.delete(found[day], True)
+
+
+def drop_rows_before(spark: SparkSession, path: str, column: str, cutoff: dt.date) -> None:
+    """Remove rows before a date: whole partitions at once, the rest of one by rewriting.
+
+    Kept by day, the cutoff always falls between two partitions. Kept by month, the rows
+    to keep of the month it falls in are staged in a folder of their own first.
+    """
+    days = [day for day in partition_days(spark, path) if day < cutoff]
+    if not days:
+        return
+    table = spark.read.parquet(path)
+    period, last = period_column(table), days[-1]
+    end = last + DAY if period == UNITS["day"] else shift_months(last, 1)
+    drop_partitions(spark, path, days if end <= cutoff else days[:-1])
+    if end > cutoff:
+        kept = table.where((F.col(period) == F.lit(last)) & (F.col(column) >= F.lit(cutoff)))
+        staged = work_folder(spark, "kept-rows")
+        kept.write.parquet(staged)
+        kept = spark.read.parquet(staged)
+        if kept.isEmpty():
+            drop_partitions(spark, path, [last])
+        else:
+            overwrite_periods(kept, path, period)

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.sources.dated import DAY_COLUMN
+from meterlens.sources.dated import UNITS, with_period
 
 
 @dataclass(frozen=True)
@@ -39,14 +39,15 @@ def run_to_end(df: DataFrame, path: str, partition: str | None = None):
     return query
 
 
-def stream_backup(stream: DataFrame, dest: str, column: str, lag: str = "3 days") -> BackupRun:
-    """Append arriving rows to a copy by day and count them per day.
+def stream_backup(
+    stream: DataFrame, dest: str, column: str, lag: str = "3 days", unit: str = "day"
+) -> BackupRun:
+    """Append arriving rows to a partitioned copy and count them per day.
 
     The copy takes every row. The counts accept late rows up to the lag; later ones are
     not counted but reported.
     """
-    dated = stream.withColumn(DAY_COLUMN, F.to_date(column))
-    run_to_end(dated, f"{dest}/copy", DAY_COLUMN)
+    run_to_end(with_period(stream, column, unit), f"{dest}/copy", UNITS[unit])
     counting = run_to_end(daily_counts(stream, column, lag), f"{dest}/counts")
     late = sum(
         operator["numRowsDroppedByWatermark"]

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from meterlens.plans import ingest
 from meterlens.sources import pages
-from meterlens.sources.dated import read_by_day
 from meterlens.sources.usage_logs import base_table, usage_log, usage_log_stream
 from meterlens.sources.workdir import work_folder
 from meterlens.streaming.backup import stream_backup
@@ -12,12 +11,13 @@ from registry.base import ORDERS_AS_OF, oracle, plain_types, query, report
 
 STARTED = dt.datetime(1998, 7, 1, 6, 0, 0)
 PAGE_ROWS = 100
+UNIT = "month"  # the test log has only a few rows a day
 
 
 def _initial(log):
     history = log("query_history")
     dest = work_folder(history.sparkSession, "backup")
-    return ingest.backup_initial(history, dest, "start_time", "query_history", STARTED)
+    return ingest.backup_initial(history, dest, "start_time", "query_history", STARTED, unit=UNIT)
 
 
 def _delta(log):
@@ -25,9 +25,11 @@ def _delta(log):
     history = log("query_history")
     dest = work_folder(history.sparkSession, "backup")
     older = history.where(F.col("start_time") < F.lit(dt.datetime(1998, 6, 10, 12)).cast("timestamp_ntz"))
-    first = ingest.backup_initial(older, dest, "start_time", "query_history", STARTED)
+    first = ingest.backup_initial(older, dest, "start_time", "query_history", STARTED, unit=UNIT)
     runs = [
-        ingest.backup_delta(history, dest, "start_time", "query_history", ORDERS_AS_OF, STARTED)
+        ingest.backup_delta(
+            history, dest, "start_time", "query_history", ORDERS_AS_OF, STARTED, unit=UNIT
+        )
         for _ in range(2)
     ]
     return first.unionByName(runs[0]).unionByName(runs[1])
@@ -37,9 +39,9 @@ def _purged(log):
     history = log("query_history")
     spark = history.sparkSession
     dest = work_folder(spark, "backup")
-    ingest.backup_initial(history, dest, "start_time", "query_history", STARTED)
-    purged = ingest.purge_older_than(spark, dest, ORDERS_AS_OF)
-    return purged.withColumn("kept", F.lit(read_by_day(spark, dest).count()))
+    ingest.backup_initial(history, dest, "start_time", "query_history", STARTED, unit=UNIT)
+    purged = ingest.purge_older_than(spark, dest, "start_time", ORDERS_AS_OF)
+    return purged.withColumn("kept", F.lit(spark.read.parquet(dest).count()))
 
 
 def _pages(log):
@@ -73,7 +75,7 @@ def _joined(spark, folder):
 def _stream(spark, folder):
     run = stream_backup(
         usage_log_stream(spark, folder, "query_history"), work_folder(spark, "stream-backup"),
-        "start_time",
+        "start_time", unit=UNIT,
     )
     return plain_types(spark.read.parquet(run.counts))
 
