@@ -15,10 +15,11 @@ def with_previous(
 
     The first order column must be an integer. Inside a block a window finds the
     previous row; the first row of a block takes the last value of the key's previous
-    block from a table with one row per block. Both sides start from the same exchange,
-    so the input is read and shuffled once, and no task ever holds more than a block.
+    block from a table with one row per block. Both sides start from the same exchange
+    (the block is never null, so no null filter tells them apart): the input is read and
+    shuffled once, and no task ever holds more than a block. Rows without a key drop out.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order[0]) / block).cast("bigint"))
+    blocked = df.withColumn("_block", F.expr(f"`{order[0]}` div {block}"))
     blocked = blocked.repartition(key, "_block")
     position = F.struct(*order, value)
     ends = blocked.groupBy(key, "_block").agg(F.max_by(value, position).alias("_end"))

@@ -62,12 +62,9 @@ def _slowest_by_window(
     return ranked.where(F.col("_rank") <= n).select("query_id", "window")
 
 
-def _operators_of_slowest(
-    query_history: DataFrame, operators: DataFrame, as_of: dt.date | str, n: int,
-    windows: list[str],
-) -> DataFrame:
+def _slowest_ids(query_history, as_of, n: int, windows: list[str]) -> DataFrame:
     ids = _slowest_by_window(query_history, as_of, n, windows)
-    return operators.join(broadcast_up_to(ids, n * len(windows)), "query_id")
+    return broadcast_up_to(ids, n * len(windows))
 
 
 def with_statistic_flags(operators: DataFrame) -> DataFrame:
@@ -92,7 +89,7 @@ def with_statistic_flags(operators: DataFrame) -> DataFrame:
 
 def with_union_flag(operators: DataFrame) -> DataFrame:
     """Flags a union operator that directly follows an aggregate in operator order."""
-    narrow = operators.select("query_id", "window", "step_id", "operator_id", "operator_type")
+    narrow = operators.select("query_id", "step_id", "operator_id", "operator_type")
     ordered = with_previous(
         narrow, "query_id", ["operator_id", "step_id"], "operator_type", "_previous"
     )
@@ -106,22 +103,35 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _flagged(query_history, operators, as_of, n, windows, flag) -> DataFrame:
-    rows = _operators_of_slowest(query_history, operators, as_of, n, windows)
-    marked = with_union_flag(rows) if flag == "union_without_all" else with_statistic_flags(rows)
-    return marked.where(F.col(flag))
+def _flags_per_query(operators: DataFrame, ids: DataFrame, flags: list[str]) -> DataFrame:
+    """Number of flagged operators of each selected query.
+
+    The semi join selects operators before their statistics are parsed. The flags are
+    counted, not filtered on: a filter would be moved below the join and would parse the
+    statistics of the whole log.
+    """
+    marked = operators.join(ids, "query_id", "left_semi")
+    unions = flags == ["union_without_all"]
+    marked = with_union_flag(marked) if unions else with_statistic_flags(marked)
+    return marked.groupBy("query_id").agg(*[F.count_if(F.col(f)).alias(f) for f in flags])
 
 
 def _counts(query_history, operators, as_of, n, flag) -> DataFrame:
     """One row, one struct: flagged operators (not queries) of each window."""
-    flagged = _flagged(query_history, operators, as_of, n, list(WINDOWS), flag)
-    per_window = [F.count_if(F.col("window") == name).alias(name) for name in WINDOWS]
-    return flagged.agg(*per_window).select(F.struct(*WINDOWS).alias("counts"))
+    ids = _slowest_ids(query_history, as_of, n, list(WINDOWS))
+    per_query = _flags_per_query(operators, ids, [flag]).join(ids, "query_id")
+    per_window = [
+        F.coalesce(F.sum(F.when(F.col("window") == name, F.col(flag))), F.lit(0)).alias(name)
+        for name in WINDOWS
+    ]
+    return per_query.agg(*per_window).select(F.struct(*WINDOWS).alias("counts"))
 
 
 def _query_ids(query_history, operators, as_of, n, flag) -> DataFrame:
-    flagged = _flagged(query_history, operators, as_of, n, ["7_days"], flag)
-    return flagged.select("query_id").distinct()
+    """Queries of the last seven days with a flagged operator."""
+    ids = _slowest_ids(query_history, as_of, n, ["7_days"])
+    per_query = _flags_per_query(operators, ids, [flag])
+    return per_query.where(F.col(flag) > 0).select("query_id")
 
 
 def exploding_counts(
@@ -181,17 +191,14 @@ def operator_metric_summary(
     windows: list[str] = tuple(WINDOWS), top_n: int = 100,
 ) -> DataFrame:
     """Counts of all four flags per query and window; queries without statistics drop out."""
-    rows = _operators_of_slowest(query_history, operators, as_of, top_n, list(windows))
-    keys = ["query_id", "window"]
-
-    def per_query(marked: DataFrame, flags: list[str]) -> DataFrame:
-        return marked.groupBy(*keys).agg(*[F.count_if(F.col(f)).alias(f) for f in flags])
-
-    own = per_query(with_statistic_flags(rows), [f for f in FLAGS if f != "union_without_all"])
-    unions = per_query(with_union_flag(rows), ["union_without_all"])
-    # Both sides hold at most one row per slow query.
-    return own.join(unions, keys).select(
-        *keys, *FLAGS, F.lit(to_day(as_of)).alias("load_date")
+    ids = _slowest_ids(query_history, as_of, top_n, list(windows))
+    own = _flags_per_query(operators, ids, [f for f in FLAGS if f != "union_without_all"])
+    unions = _flags_per_query(operators, ids, ["union_without_all"])
+    # Everything joined here holds at most one row per slow query.
+    return (
+        own.join(unions, "query_id")
+        .join(ids, "query_id")
+        .select("query_id", "window", *FLAGS, F.lit(to_day(as_of)).alias("load_date"))
     )
 
 
