@@ -19,7 +19,9 @@ def with_previous(
     (the block is never null, so no null filter tells them apart): the input is read and
     shuffled once, and no task ever holds more than a block. Rows without a key drop out.
     """
-    blocked = df.withColumn("_block", F.expr(f"`{order[0]}` div {block}"))
+    blocked = df.withColumn(
+        "_block", F.coalesce(F.expr(f"`{order[0]}` div {block}"), F.lit(0).cast("bigint"))
+    )
     blocked = blocked.repartition(key, "_block")
     position = F.struct(*order, value)
     ends = blocked.groupBy(key, "_block").agg(F.max_by(value, position).alias("_end"))

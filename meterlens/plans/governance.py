@@ -174,11 +174,14 @@ def cost_by_tag(
 ) -> DataFrame:
     """Credits and users per tag value and warehouse.
 
-    A query's credits are split evenly over the distinct objects it reads. The shares
-    are summed per object name, warehouse and user before the tags are joined, so an
-    object that much of the log reads meets the tag list as a few rows.
+    A query's credits are split evenly over the distinct tables it reads (objects with a
+    three-part name). The shares are summed per table name, warehouse and user before the
+    tags are joined, so a table that much of the log reads meets the tag list as a few
+    rows.
     """
-    objects = accessed_objects(access, "query_id").distinct()
+    objects = accessed_objects(access, "query_id")
+    objects = objects.where(F.col("query_id").isNotNull() & F.col("table_name").isNotNull())
+    objects = objects.distinct()
     spread = objects.groupBy("query_id").agg(F.count(F.lit(1)).alias("_objects"))
     share = F.round(F.col("credits").cast("double") / F.col("_objects"), 8)
     queries = (

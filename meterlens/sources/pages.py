@@ -25,24 +25,21 @@ def page_records(pages: DataFrame, page_size: int = fixed.PAGE_SIZE) -> DataFram
     """One JSON text per record, up to and including each endpoint's first short page.
 
     A missing, empty or unreadable page also ends its endpoint. Only page numbers and
-    sizes are compared; the payloads do not move.
+    sizes are compared: the payloads stay where they are and are parsed once.
     """
-    listed = pages.withColumn(
-        "_records",
-        F.coalesce(
-            F.from_json(F.get_json_object("payload", "$.results"), "array<string>"),
-            F.when(F.ltrim("payload").startswith("["), F.from_json("payload", "array<string>")),
-            F.array().cast("array<string>"),
-        ),
-    )
-    sizes = listed.select("endpoint", "page_no", F.size("_records").alias("_size"))
-    followed = sizes.select("endpoint", (F.col("page_no") - 1).alias("page_no"))
-    ends = sizes.where(F.col("_size") < page_size).select("endpoint", "page_no").unionByName(
-        sizes.join(followed, ["endpoint", "page_no"], "left_anti").select("endpoint", "page_no")
+    wrapped = F.get_json_object("payload", "$.results")
+    bare = F.when(F.ltrim("payload").startswith("["), F.col("payload"))
+    listed = F.coalesce(wrapped, bare)
+    size = F.coalesce(F.json_array_length(listed), F.lit(0))
+    numbers = pages.select("endpoint", "page_no")
+    followed = numbers.select("endpoint", (F.col("page_no") - 1).alias("page_no"))
+    ends = pages.where(size < page_size).select("endpoint", "page_no").unionByName(
+        numbers.join(followed, ["endpoint", "page_no"], "left_anti")
     )
     last = ends.groupBy("endpoint").agg(F.min("page_no").alias("_last"))
-    kept = listed.join(last, "endpoint").where(F.col("page_no") <= F.col("_last"))
-    return kept.select("endpoint", "page_no", F.explode("_records").alias("record"))
+    kept = pages.join(last, "endpoint").where(F.col("page_no") <= F.col("_last"))
+    records = F.explode(F.from_json(listed, "array<string>")).alias("record")
+    return kept.select("endpoint", "page_no", records)
 
 
 def _inferred_schema(records: DataFrame) -> T.StructType | None:
