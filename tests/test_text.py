@@ -1,0 +1,82 @@
+import pytest
+from conftest import plan, rows
+
+from meterlens.plans import text_log as t
+
+
+def names(frame, text, clean=False):
+    return t.table_references(frame("q string", (text,)), "q", clean).first().table_names
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("select * from a.b join c", "A.B, C"),
+        ("insert into x.y select 1 from z", "X.Y, Z"),
+        ("copy into t1 from @stage/file.csv", "T1, @STAGE/FILE.CSV"),
+        ("select 1", None),
+        ("", None),
+        ("select from my_table", None),  # undotted name with an underscore
+        ("select * from a from a", "A, A"),  # repeats stay
+        ("select * from db.t;", "DB.T;"),
+        ("select fromage.x", "AGE.X"),  # keyword inside a word
+        ("select * from\n\t a\nwhere", None),  # a newline does not end a name
+        ("select * from (select 1 from b)", None),  # a closing bracket stays
+    ],
+)
+def test_strict_names(frame, text, found):
+    assert names(frame, text) == found
+
+
+def test_clean_names(frame):
+    assert names(frame, "select * from\n a\nwhere", clean=True) == "A"
+    assert names(frame, "select * from db.t; insert into (x)", clean=True) == "X, DB.T"
+
+
+def test_null_text(frame):
+    assert names(frame, None) is None
+
+
+def test_counts(frame):
+    df = frame("q string", ("select * from a join a",), ("from b.c",), ("none",))
+    assert dict(rows(t.table_reference_counts(df, "q"))) == {"A": 2, "B.C": 1}
+
+
+@pytest.mark.parametrize(
+    "text, by_pattern, by_position",
+    [
+        ("merge into a.b using c", "a.b", "A.B"),
+        ('MERGE  INTO "My Table" u', '"My Table"', None),
+        ("MERGE INTO t;x", "t", "T"),
+        ("MERGE INTO  t\nx", "t", "T"),
+        ("MERGE INTO t", "t", "T"),
+        ("select 1", None, None),
+        ("MERGE INTO " + "x" * 200, "x" * 200, "X" * 99),
+    ],
+)
+def test_merge_targets(frame, text, by_pattern, by_position):
+    df = frame("q string", (text,))
+    assert t.merge_target(df, "q").first().target_table == by_pattern
+    assert t.merge_target_by_position(df, "q").first().target_table == by_position
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [("a.b.c.d x", "a.b.c"), ('"A B"."C" x', '"A B"."C"'), (" a", None), ("t", "t")],
+)
+def test_leading_identifier(frame, text, found):
+    assert t.leading_identifier(frame("q string", (text,)), "q").first().target_table == found
+
+
+def test_identifier_calls(frame):
+    df = frame("q string", ("x IDENTIFIER('a.b') IDENTIFIER('c')",), ("IDENTIFIER('')",))
+    assert rows(t.identifier_argument(df, "q").select("argument")) == [("a.b",), (None,)]
+    assert rows(t.identifier_call(df, "q").select("call"))[0] == ("IDENTIFIER('a.b')",)
+
+
+def test_no_python_in_the_plans(frame):
+    df = frame("q string", ("select",))
+    for job in (t.table_references, t.merge_target, t.merge_target_by_position,
+                t.leading_identifier, t.identifier_argument, t.identifier_call):
+        text = plan(job(df, "q"))
+        assert "Python" not in text.replace("Scan ExistingRDD", "")
