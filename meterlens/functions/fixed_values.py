@@ -34,6 +34,9 @@ WAREHOUSE_METERING = "WAREHOUSE_METERING"
 SEARCH_OPTIMIZATION = "SEARCH_OPTIMIZATION"
 AUTO_CLUSTERING = "AUTO_CLUSTERING"
 MATERIALIZED_VIEW = "MATERIALIZED_VIEW"
+COMPUTE_LABEL = "COMPUTE"
+CLOUD_SERVICES_LABEL = "CLOUD SERVICES"
+STORAGE_LABEL = "STORAGE"
 SEARCH_NAME_TABLE_ID = (33, 10)  # position and length of the table id in a name
 UNKNOWN_OWNER = "Other"
 
@@ -49,7 +52,12 @@ WAREHOUSE_SIZES = {
     "4XLARGE": 32.0,
 }
 
+# Storage.
+ACTIVE_SIZE_TITLE = "Average Active Size in TB"
+FAILSAFE_SIZE_TITLE = "Average Failsafe Size in TB"
+
 # Governance.
+COMMENT_STATEMENT = "ALTER TABLE %s.%s.%s ALTER COLUMN %s comment '%s'"
 RETENTION_TARGET_DAYS = 3
 RETENTION_CHANGED = "Time Travel Duration Changed"
 RETENTION_CHANGED_AUDIT = "Time Travel Duration Changed to 3 Days"

@@ -39,22 +39,28 @@ def with_previous(
     )
 
 
-def with_row_number(df: DataFrame, slot: str, order: list[str | Column], name: str) -> DataFrame:
-    """Global row numbers from 1, ordered by ``slot`` and then ``order``.
+def with_row_number(
+    df: DataFrame, slots: list[str], order: list[str | Column], name: str
+) -> DataFrame:
+    """Global row numbers from 1, ordered by the ``slots`` columns and then ``order``.
 
-    Rows are ranked inside their slot only; the offsets of the slots come from a
-    running sum over one count per slot. The caller bounds the number of slots.
+    Rows are ranked inside their innermost slot only. The offset of a slot is a running
+    sum over one count per slot within the next outer slot, so a window never sees more
+    rows than an outer slot has inner ones. The caller picks slots that are fine enough;
+    slot columns must not be null.
     """
-    everything = Window.partitionBy(F.lit(0)).orderBy(slot)
-    earlier = everything.rowsBetween(Window.unboundedPreceding, -1)
-    counts = df.groupBy(slot).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select(
-        slot, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy(slot).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(inside))
-    return (
-        ranked.join(offsets, slot)
-        .withColumn(name, F.col("_offset") + F.col("_rank"))
-        .drop("_offset", "_rank")
-    )
+    counts = df.groupBy(*slots).agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = df.withColumn("_rank", F.row_number().over(_by(slots).orderBy(*order)))
+    number = F.col("_rank")
+    for level in range(len(slots), 0, -1):
+        outer, slot = slots[: level - 1], slots[level - 1]
+        earlier = _by(outer).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(f"_before{level}")
+        numbered = numbered.join(counts.select(*slots[:level], before), slots[:level])
+        number = number + F.col(f"_before{level}")
+        counts = counts.groupBy(*outer).agg(F.sum("_rows").alias("_rows"))
+    return numbered.select(*df.columns, number.alias(name))
+
+
+def _by(columns: list[str]):
+    return Window.partitionBy(*columns) if columns else Window.partitionBy(F.lit(0))

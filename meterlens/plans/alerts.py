@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
 from meterlens.functions.dates import second_number
-from meterlens.operators.ordering import with_row_number
+from meterlens.operators.ordering import BLOCK, with_row_number
 
 PAGE_ROWS = 1000
 
@@ -50,8 +50,12 @@ def failure_digest(
         .where(F.col("html").isNotNull())
         .withColumn("_second", second_number("query_start_time"))
     )
-    tie_break = ["query_start_time"] + [c for c in ("event_id",) if c in tasks.columns]
-    numbered = with_row_number(rows, "_second", [*tie_break, "html"], "_n")
+    # Many scheduled tasks start at one instant: ids split even that into small slots.
+    slots, order = ["_second", "query_start_time"], ["html"]
+    if "event_id" in tasks.columns:
+        rows = rows.withColumn("_ids", F.expr(f"coalesce(event_id div {BLOCK}, 0)"))
+        slots, order = [*slots, "_ids"], ["event_id", "html"]
+    numbered = with_row_number(rows, slots, order, "_n")
     page = (F.floor((F.col("_n") - 1) / page_rows) + 1).cast("bigint").alias("page")
     heading = "".join(f"<th>{title}</th>" for title in fixed.DIGEST_HEADINGS)
     opening = f"{fixed.DIGEST_INTRO}{fixed.DIGEST_TABLE}<tr>{heading}</tr>"

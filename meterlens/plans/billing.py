@@ -82,7 +82,7 @@ def bill_compute(
     """Warehouse compute."""
     usage = metering.where(within("start_time", *full_months(as_of, months)))
     credits = F.coalesce("credits_used_compute", F.lit(Decimal(0)))
-    return _positive(_bill(usage, credits, price, "warehouse_name", F.lit("COMPUTE"), account))
+    return _positive(_bill(usage, credits, price, "warehouse_name", F.lit(fixed.COMPUTE_LABEL), account))
 
 
 def bill_services(
@@ -100,7 +100,7 @@ def bill_services(
     credits = F.when(metered, F.col("credits_used_cloud_services")).otherwise(
         F.col("credits_used_compute")
     )
-    service = F.when(metered, F.lit("CLOUD SERVICES")).otherwise(F.col("service_type"))
+    service = F.when(metered, F.lit(fixed.CLOUD_SERVICES_LABEL)).otherwise(F.col("service_type"))
     return _positive(_bill(usage, credits, price, "name", service, account))
 
 
@@ -149,7 +149,7 @@ def bill_storage(
     terabytes = F.round(mean / float(1024**4), 3).cast("decimal(18,3)")
     sized = usage.groupBy(
         _account(account), F.col("database_name").alias("wh_db_name"),
-        F.lit("STORAGE").alias("service_type"), month_of("usage_date").alias("usage_month"),
+        F.lit(fixed.STORAGE_LABEL).alias("service_type"), month_of("usage_date").alias("usage_month"),
     ).agg(terabytes.alias("total_credits"))
     return _positive(
         sized.withColumn("billable_usage", F.lit(price) * F.col("total_credits"))

@@ -130,9 +130,7 @@ def comment_plan(
         wanted = wanted.where(F.col(column) == value)
     known = columns.select(*COLUMN_KEY).distinct().withColumn("_known", F.lit(True))
     quoted = F.replace(F.col("comments"), F.lit("'"), F.lit("''"))
-    statement = F.format_string(
-        "ALTER TABLE %s.%s.%s ALTER COLUMN %s comment '%s'", *COLUMN_KEY, quoted
-    )
+    statement = F.format_string(fixed.COMMENT_STATEMENT, *COLUMN_KEY, quoted)
     return wanted.join(known, COLUMN_KEY, "left").select(
         *COLUMN_KEY,
         F.when(F.col("_known"), "apply").otherwise("failed").alias("status"),

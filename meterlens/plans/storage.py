@@ -13,8 +13,8 @@ from meterlens.functions.dates import full_months, in_months, month_of, to_day,
 
 TERABYTE = float(2**40)
 MEASURES = {
-    "database_size_tb": "Average Active Size in TB",
-    "failsafe_size_tb": "Average Failsafe Size in TB",
+    "database_size_tb": fixed.ACTIVE_SIZE_TITLE,
+    "failsafe_size_tb": fixed.FAILSAFE_SIZE_TITLE,
 }
 
 

@@ -166,18 +166,23 @@ def sized_utilisation(
 
 
 def idle_gaps(
-    metering: DataFrame, queries: DataFrame, day: dt.date | str | None = None
+    metering: DataFrame, queries: DataFrame, day: dt.date | str | None = None,
+    warehouse: str | None = None,
 ) -> DataFrame:
     """Each metering interval with the next query starting after it, on the same day.
 
-    Works warehouse by warehouse and day by day; ``day`` restricts it to one day. Gaps
-    are whole seconds above zero. Queries are first reduced to one row per warehouse
+    Works warehouse by warehouse and day by day; ``day`` and ``warehouse`` restrict it.
+    Gaps are whole seconds above zero; ``later_queries`` counts all queries of that day
+    behind the gap, instead of listing each of them with each interval. Queries are first reduced to one row per warehouse
     and second, so a day holds at most 86,400 of them however busy the warehouse is;
     one backward pass then carries the next start to every interval end.
     """
     if day is not None:
         one_day = within("start_time", to_day(day), to_day(day) + DAY)
         metering, queries = metering.where(one_day), queries.where(one_day)
+    if warehouse is not None:
+        one_warehouse = F.col("warehouse_name") == warehouse
+        metering, queries = metering.where(one_warehouse), queries.where(one_warehouse)
     keys = ["warehouse_name", "_day"]
     intervals = (
         metering.where(F.col("start_time") <= F.col("end_time"))
@@ -186,16 +191,19 @@ def idle_gaps(
     )
     ends = intervals.select(
         *keys, second_number("end_time").alias("_second"), F.lit(0).alias("_is_query"),
-        F.lit(None).cast("timestamp_ntz").alias("_query_start"), "start_time", "end_time",
+        F.lit(None).cast("timestamp_ntz").alias("_query_start"),
+        F.lit(0).cast("bigint").alias("_queries"), "start_time", "end_time",
     )
     starts = (
         queries.groupBy(
             "warehouse_name", F.to_date("start_time").alias("_day"),
             second_number("start_time").alias("_second"),
         )
-        .agg(F.min("start_time").alias("_query_start"))
+        .agg(
+            F.min("start_time").alias("_query_start"), F.count(F.lit(1)).alias("_queries")
+        )
         .select(
-            *keys, "_second", F.lit(1).alias("_is_query"), "_query_start",
+            *keys, "_second", F.lit(1).alias("_is_query"), "_query_start", "_queries",
             F.lit(None).cast("timestamp_ntz").alias("start_time"),
             F.lit(None).cast("timestamp_ntz").alias("end_time"),
         )
@@ -205,7 +213,9 @@ def idle_gaps(
         .orderBy(F.desc("_second"), "_is_query")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = ends.unionByName(starts).withColumn("_next", F.min("_query_start").over(later))
+    carried = ends.unionByName(starts).withColumns(
+        {"_next": F.min("_query_start").over(later), "_later": F.sum("_queries").over(later)}
+    )
     gap = second_number("_next") - F.col("_second")
     return (
         carried.where((F.col("_is_query") == 0) & F.col("_next").isNotNull())
@@ -215,5 +225,6 @@ def idle_gaps(
             F.col("end_time").alias("warehouse_end_time"),
             F.col("_next").alias("next_query_start_time"),
             gap.alias("idle_seconds"),
+            F.col("_later").alias("later_queries"),
         )
     )

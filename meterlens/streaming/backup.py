@@ -2,19 +2,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.sources.dated import UNITS, with_period
+from meterlens.sources.dated import UNITS, day_of_rows, with_period
 
 
 @dataclass(frozen=True)
 class BackupRun:
-    """Where a backup run wrote, and how many late rows its daily counts left out."""
+    """Where a backup stream writes its copy and its daily counts."""
 
     copy: str
     counts: str
-    late_rows: int
 
 
 def daily_counts(stream: DataFrame, column: str, lag: str = "3 days") -> DataFrame:
@@ -44,14 +43,20 @@ def stream_backup(
 ) -> BackupRun:
     """Append arriving rows to a partitioned copy and count them per day.
 
-    The copy takes every row. The counts accept late rows up to the lag; later ones are
-    not counted but reported.
+    The copy takes every row. A day is counted once the watermark has passed it; rows
+    that arrive even later are in the copy only, see ``late_rows``.
     """
     run_to_end(with_period(stream, column, unit), f"{dest}/copy", UNITS[unit])
-    counting = run_to_end(daily_counts(stream, column, lag), f"{dest}/counts")
-    late = sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in counting.recentProgress
-        for operator in progress["stateOperators"]
+    run_to_end(daily_counts(stream, column, lag), f"{dest}/counts")
+    return BackupRun(f"{dest}/copy", f"{dest}/counts")
+
+
+def late_rows(spark: SparkSession, run: BackupRun, column: str) -> DataFrame:
+    """Rows per counted day that came too late for the count, over all runs so far."""
+    copy = spark.read.parquet(run.copy)
+    copied = copy.groupBy(day_of_rows(copy, column).alias("run_date")).agg(
+        F.count(F.lit(1)).alias("copied")
     )
-    return BackupRun(f"{dest}/copy", f"{dest}/counts", late)
+    compared = spark.read.parquet(run.counts).join(copied, "run_date")
+    late = compared.select("run_date", (F.col("copied") - F.col("row_count")).alias("late_rows"))
+    return late.where(F.col("late_rows") > 0)

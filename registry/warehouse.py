@@ -29,8 +29,9 @@ QUERIES = {
     "w07_idle_gaps": report(
         warehouse.idle_gaps, "warehouse_metering_history", "query_activity"
     ),
-    "w07_idle_gaps_one_day": report(
-        warehouse.idle_gaps, "warehouse_metering_history", "query_activity", day="2024-01-15"
+    "w07_idle_gaps_report": report(
+        warehouse.idle_gaps, "warehouse_metering_history", "query_activity", day="2024-01-15",
+        warehouse="WH_3",
     ),
 }
 
@@ -101,9 +102,10 @@ select m.warehouse_name,
   strftime(m.end_time, '%Y-%m-%d %H:%M:%S') as warehouse_end_time,
   strftime(min(q.start_time), '%Y-%m-%d %H:%M:%S') as next_query_start_time,
   min(epoch_us(date_trunc('second', q.start_time)) // 1000000
-    - epoch_us(date_trunc('second', m.end_time)) // 1000000) as idle_seconds
-from warehouse_metering_history m join query_activity q
-  on q.warehouse_name = m.warehouse_name
+    - epoch_us(date_trunc('second', m.end_time)) // 1000000) as idle_seconds,
+  count(*) as later_queries
+from (select distinct warehouse_name, start_time, end_time from warehouse_metering_history) m
+join query_activity q on q.warehouse_name = m.warehouse_name
   and cast(q.start_time as date) = cast(m.start_time as date)
   and date_trunc('second', q.start_time) > date_trunc('second', m.end_time)
 where m.start_time <= m.end_time {0}
@@ -137,7 +139,9 @@ with usage as (
     "w06_sized_utilisation": _sized("m.credits_used_compute", ""),
     "w06_sized_utilisation_daily": _sized("sum(m.credits_used_compute)", "group by 1, 2, 4"),
     "w07_idle_gaps": oracle(_GAPS.format("")),
-    "w07_idle_gaps_one_day": oracle(
-        _GAPS.format("and cast(m.start_time as date) = date '2024-01-15'")
+    "w07_idle_gaps_report": oracle(
+        _GAPS.format(
+            "and cast(m.start_time as date) = date '2024-01-15' and m.warehouse_name = 'WH_3'"
+        )
     ),
 }

@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from meterlens.plans import alerts
-from meterlens.streaming.backup import daily_counts, run_to_end, stream_backup
+from meterlens.streaming.backup import daily_counts, late_rows, run_to_end, stream_backup
 from meterlens.streaming.failures import failure_stream
 
 TASKS = (
@@ -64,13 +64,13 @@ def test_stream_backup_copies_all_and_reports_late_rows(spark, frame, at, tmp_pa
     first = frame(schema, (1, at("2024-01-01 05:00:00")), (2, at("2024-01-10 05:00:00")))
     stream = _stream_of(spark, first, folder)
     run = stream_backup(stream, dest, "t")
-    assert run.late_rows == 0
+    assert late_rows(spark, run, "t").count() == 0
     assert [(str(d), n) for d, n in rows(spark.read.parquet(run.counts))] == [("2024-01-01", 1)]
     late = frame(schema, (3, at("2024-01-01 06:00:00")), (4, at("2024-01-08 06:00:00")),
                  (5, at("2024-01-20 06:00:00")))
     late.coalesce(1).write.mode("append").parquet(folder)
     run = stream_backup(stream, dest, "t")
-    assert run.late_rows == 1
+    assert [(str(d), n) for d, n in rows(late_rows(spark, run, "t"))] == [("2024-01-01", 1)]
     assert spark.read.parquet(run.copy).count() == 5
     assert [(str(d), n) for d, n in rows(spark.read.parquet(run.counts), "run_date")] == [
         ("2024-01-01", 1), ("2024-01-08", 1), ("2024-01-10", 1)

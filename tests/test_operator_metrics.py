@@ -97,11 +97,11 @@ def test_previous_value_reads_its_input_once(spark, tmp_path):
 
 
 def test_row_numbers_follow_slot_then_order(frame):
-    df = frame("s int, o int", *((o % 4, o) for o in range(20)))
-    numbered = rows(with_row_number(df, "s", ["o"], "n"), "n")
-    assert numbered == [
-        (s, o, n + 1) for n, (s, o) in enumerate(sorted((o % 4, o) for o in range(20)))
-    ]
+    data = sorted((o % 4, o % 3, o) for o in range(40))
+    df = frame("s int, t int, o int", *data)
+    expected = [(*row, n + 1) for n, row in enumerate(data)]
+    for slots, order in ((["s"], ["t", "o"]), (["s", "t"], ["o"]), (["s", "t", "o"], ["o"])):
+        assert rows(with_row_number(df, slots, order, "n"), "n") == expected
 
 
 def test_summary_drops_queries_without_statistics(history, frame):

@@ -83,7 +83,9 @@ def test_gaps_are_whole_seconds_of_the_same_day(frame, at):
         ("A", at("2024-01-15 02:30:00")), ("A", at("2024-01-16 00:10:00")),
     )
     found = rows(w.idle_gaps(metering, queries), "warehouse_end_time")
-    assert [(r[3], r[4]) for r in found] == [(at("2024-01-15 02:00:01.300000"), 1)] * 2
+    assert [r[3:] for r in found] == [(at("2024-01-15 02:00:01.300000"), 1, 2)] * 2
+    assert w.idle_gaps(metering, queries, "2024-01-16").count() == 0
+    assert w.idle_gaps(metering, queries, "2024-01-15", "B").count() == 0
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -105,7 +107,7 @@ def test_gaps_equal_the_nearest_later_query(frame, at, seed):
         if later:
             first = min(later)
             gap = (first.replace(microsecond=0) - end) // dt.timedelta(seconds=1)
-            expected.add((name, start, end, first, gap))
+            expected.add((name, start, end, first, gap, len(later)))
     df = w.idle_gaps(frame(METERING, *intervals), frame(QUERIES, *queries))
     assert set(rows(df)) == expected
     assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
