@@ -11,42 +11,34 @@ from meterlens.functions import fixed_values as fixed
 
 # What counts as blank at either end of a token: the Unicode white space characters
 # and the four ASCII separators.
-_BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-    chr(code) for code in range(0x2000, 0x200B)
-)
+_BLANK = r"[ \t\n\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The first word of a text without outer blanks: up to a space, or up to any blank.
+_STRICT_NAME = rf"^{_BLANK}*([^ ]*?)(?:{_BLANK}*\z| )"
+_CLEAN_NAME = rf"^{_BLANK}*(.*?)[;,)]*(?:{_BLANK}|\z)"
+_KEPT_NAME = r"\.|^[\p{L}\p{N}]+\z"
 
 
-def referenced_tables(text: Column, clean: bool = False) -> Column:
+def referenced_tables(upper: Column, clean: bool = False) -> Column:
     """Array of table names following a table keyword, in keyword order.
 
-    The strict form looks for a keyword anywhere, even inside a word, ends a name at
-    a blank only, and keeps names that are dotted or purely alphanumeric, repeats
-    included. ``clean`` ends a name at any white space and strips punctuation.
+    ``upper`` is the text in upper case. The strict form looks for a keyword anywhere,
+    even inside a word, ends a name at a space only, and keeps names that are dotted or
+    purely alphanumeric, repeats included. ``clean`` ends a name at any white space and
+    cuts off punctuation behind it.
     """
-    upper = F.upper(text)
-
-    def name_of(part: Column) -> Column:
-        part = F.btrim(part, F.lit(_BLANKS))
-        if not clean:
-            return F.split_part(part, F.lit(" "), F.lit(1))
-        return F.btrim(F.get(F.split(part, r"\s+"), F.lit(0)), F.lit(";,()"))
-
-    def keep(name: Column) -> Column:
-        return F.contains(name, F.lit(".")) | name.rlike(r"^[\p{L}\p{N}]+$")
-
+    pattern = _CLEAN_NAME if clean else _STRICT_NAME
+    nothing = F.array().cast("array<string>")
     found = []
     for keyword in fixed.TABLE_KEYWORDS:
         parts = F.split(upper, re.escape(keyword))
-        names = F.transform(F.slice(parts, F.lit(2), F.size(parts)), name_of)
-        found.append(F.filter(names, keep))
+        behind = F.slice(parts, F.lit(2), F.size(parts))
+        names = F.transform(behind, lambda part: F.regexp_extract(part, pattern, 1))
+        kept = F.filter(names, lambda name: name.rlike(_KEPT_NAME))
+        # Most texts lack most keywords; a plain search is cheaper than a split.
+        found.append(F.when(F.contains(upper, F.lit(keyword)), kept).otherwise(nothing))
     return F.concat(*found)
 
 
-def name_list(names: Column) -> Column:
-    """Comma-separated names, null when there are none."""
-    return F.when(F.size(names) > 0, F.array_join(names, ", "))
-
-
 def extract(text: Column, pattern: str, group: int) -> Column:
     """First match of a pattern, null when there is none."""
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))

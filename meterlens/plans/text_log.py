@@ -9,17 +9,26 @@ from meterlens.functions import fixed_values as fixed
 from meterlens.functions import text
 
 
+def _with_names(df: DataFrame, text_col: str, clean: bool) -> DataFrame:
+    """Adds the array of names; the upper-cased text is made once per row."""
+    upper = df.withColumn("_upper", F.upper(F.col(text_col)))
+    names = text.referenced_tables(F.col("_upper"), clean)
+    return upper.withColumn("_names", names).drop("_upper")
+
+
 def table_references(
     df: DataFrame, text_col: str, clean: bool = False, name: str = "table_names"
 ) -> DataFrame:
-    """Adds the comma-separated names of the tables a query text mentions."""
-    return df.withColumn(name, text.name_list(text.referenced_tables(F.col(text_col), clean)))
+    """Adds the comma-separated names of the tables a text mentions, null without any."""
+    listed = F.when(F.size("_names") > 0, F.array_join("_names", ", "))
+    return _with_names(df, text_col, clean).withColumn(name, listed).drop("_names")
 
 
 def table_reference_counts(df: DataFrame, text_col: str, clean: bool = False) -> DataFrame:
     """How often each table is mentioned over the whole log."""
-    names = F.explode(text.referenced_tables(F.col(text_col), clean)).alias("table_name")
-    return df.select(names).groupBy("table_name").agg(F.count(F.lit(1)).alias("mentions"))
+    named = _with_names(df.select(text_col), text_col, clean)
+    mentions = named.select(F.explode("_names").alias("table_name"))
+    return mentions.groupBy("table_name").agg(F.count(F.lit(1)).alias("mentions"))
 
 
 def merge_target(df: DataFrame, text_col: str, name: str = "target_table") -> DataFrame:

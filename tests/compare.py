@@ -23,9 +23,9 @@ TABLES = (
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for table in TABLES:
-        connection.execute(
-            f"create view {table} as select * from read_parquet('{folder}/{table}.parquet')"
-        )
+        path = f"{folder}/{table}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"create view {table} as select * from read_parquet('{files}')")
     return connection
 
 
