@@ -15,6 +15,7 @@ _BLANK = r"[ \t\n\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\
 # The first word of a text without outer blanks: up to a space, or up to any blank.
 _STRICT_NAME = rf"^{_BLANK}*([^ ]*?)(?:{_BLANK}*\z| )"
 _CLEAN_NAME = rf"^{_BLANK}*(.*?)[;,)]*(?:{_BLANK}|\z)"
+_PLAIN_INTEGER = r"^(0|-?[1-9][0-9]{0,27})\z"
 _KEPT_NAME = r"\.|^[\p{L}\p{N}]+\z"
 
 
@@ -61,11 +62,12 @@ def first_word(text: Column) -> Column:
 
 def canonical_scalar(text: Column) -> Column:
     """Numbers without padding, else booleans as true/false, else the text itself."""
-    decimal = text.try_cast("decimal(38,9)").cast("string")
+    decimal = text.try_cast("decimal(38,18)").cast("string")
     plain = F.regexp_replace(F.regexp_replace(decimal, r"(\.\d*?)0+$", "$1"), r"\.$", "")
     word = F.lower(F.trim(text))
     return (
-        F.when(decimal.isNotNull(), plain)
+        F.when(text.rlike(_PLAIN_INTEGER), text)
+        .when(decimal.isNotNull(), plain)
         .when(word.isin(*fixed.BOOLEAN_WORDS["true"]), F.lit("true"))
         .when(word.isin(*fixed.BOOLEAN_WORDS["false"]), F.lit("false"))
         .otherwise(text)

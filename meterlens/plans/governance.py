@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
 from meterlens.functions.dates import last_days, to_day
+from meterlens.operators.arrays import explode_once
 from meterlens.plans.query_log import credits_per_query
 
 TABLE_KEY = ["table_catalog", "table_schema", "table_name"]
@@ -18,7 +19,7 @@ COLUMN_KEY = ["database_name", "schema_name", "table_name", "column_name"]
 def accessed_objects(access: DataFrame, *columns: str) -> DataFrame:
     """One row per accessed object: catalog, schema and name with the kept columns."""
     objects = F.from_json("base_objects_accessed", "array<struct<objectName: string>>")
-    exploded = access.select(*columns, F.explode(objects).alias("_object"))
+    exploded = explode_once(access, list(columns), objects, "_object")
     parts = F.split("_object.objectName", r"\.")
     return exploded.select(
         *columns, *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(TABLE_KEY)]

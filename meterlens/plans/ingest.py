@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions.dates import DAY, shift_months, to_day
 from meterlens.functions.text import canonical_scalar
+from meterlens.operators.arrays import explode_once
 from meterlens.sources.dated import (
     day_of_rows,
     drop_rows_before,
@@ -28,17 +29,17 @@ def flatten_attributes(
     ``max_keys`` of them, come to the driver. Each object is parsed once per row. Values
     are text: numbers and booleans in canonical form, anything else as it stands.
     """
-    found = df.select(F.explode(F.json_object_keys(attributes)).alias("key")).distinct()
+    found = explode_once(df, [], F.json_object_keys(attributes), "key").distinct()
     keys = sorted(row.key for row in found.limit(max_keys + 1).collect())
     if len(keys) > max_keys:
         raise ValueError(f"more than {max_keys} distinct attribute keys")
-    parsed = df.select(
-        id,
-        F.explode(F.from_json(ids, "array<string>")).alias("individual_id"),
-        F.from_json(attributes, "map<string,string>").alias("_attributes"),
+    values = F.from_json(attributes, "map<string,string>").alias("_values")
+    parsed = df.select(id, ids, values).select(
+        id, ids, *[canonical_scalar(F.col("_values")[key]).alias(key) for key in keys]
     )
-    values = [canonical_scalar(F.col("_attributes")[key]).alias(key) for key in keys]
-    return parsed.select(id, "individual_id", *values)
+    listed = F.from_json(ids, "array<string>")
+    exploded = explode_once(parsed, [id, *[f"`{key}`" for key in keys]], listed, "individual_id")
+    return exploded.select(id, "individual_id", *[f"`{key}`" for key in keys])
 
 
 def audit_rows(

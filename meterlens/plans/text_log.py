@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
 from meterlens.functions import text
+from meterlens.operators.arrays import explode_once
 
 
 def _with_names(df: DataFrame, text_col: str, clean: bool) -> DataFrame:
@@ -27,7 +28,7 @@ def table_references(
 def table_reference_counts(df: DataFrame, text_col: str, clean: bool = False) -> DataFrame:
     """How often each table is mentioned over the whole log."""
     named = _with_names(df.select(text_col), text_col, clean)
-    mentions = named.select(F.explode("_names").alias("table_name"))
+    mentions = explode_once(named, [], F.col("_names"), "table_name")
     return mentions.groupBy("table_name").agg(F.count(F.lit(1)).alias("mentions"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlens.functions import fixed_values as fixed
+from meterlens.operators.arrays import explode_once
 
 PAGE_SCHEMA = "payload string, endpoint string, page_no bigint"
 
@@ -38,8 +39,9 @@ def page_records(pages: DataFrame, page_size: int = fixed.PAGE_SIZE) -> DataFram
     )
     last = ends.groupBy("endpoint").agg(F.min("page_no").alias("_last"))
     kept = pages.join(last, "endpoint").where(F.col("page_no") <= F.col("_last"))
-    records = F.explode(F.from_json(listed, "array<string>")).alias("record")
-    return kept.select("endpoint", "page_no", records)
+    return explode_once(
+        kept, ["endpoint", "page_no"], F.from_json(listed, "array<string>"), "record"
+    )
 
 
 def _inferred_schema(records: DataFrame) -> T.StructType | None:

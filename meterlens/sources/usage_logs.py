@@ -205,6 +205,7 @@ def usage_log_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A derived table as a stream over the files of its single base table."""
     (table,) = inputs_of(name)
     schema = base_table(spark, folder, table).schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    # A pattern, so that the table may be one file or a folder of files.
+    files = spark.readStream.schema(schema).parquet(f"{folder}/{table}.parquet*")
     derived = DERIVATIONS[name].replace(f"from {table}", f"from {{{table}}}")
-    return spark.sql(derived, **{table: files.parquet(folder)})
+    return spark.sql(derived, **{table: files})
