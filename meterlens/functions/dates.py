@@ -94,7 +94,29 @@ def short_month(label: str) -> str:
     return f"{month.lower()}_{year[2:]}"
 
 
+def moment(value: dt.datetime) -> Column:
+    """A zone-less timestamp literal. (A plain datetime literal would be an instant and
+    would shift with the session time zone.)"""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return moment(dt.datetime(1970, 1, 1))
+
+
 def second_number(column: str) -> Column:
     """Whole seconds since 1970 of a zone-less timestamp (fractions cut off)."""
-    epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", epoch, F.col(column))
+    return F.timestamp_diff("SECOND", _epoch(), F.col(column))
+
+
+def as_utc(column: str) -> Column:
+    """A zone-less timestamp as the instant it names in UTC, whatever the session zone.
+
+    Watermarks need instants; their windows are aligned in UTC.
+    """
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), F.col(column)))
+
+
+def from_utc(column: str) -> Column:
+    """The zone-less UTC time of an instant, the reverse of ``as_utc``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(column), _epoch())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
-from meterlens.functions.dates import second_number
+from meterlens.functions.dates import moment, second_number
 from meterlens.operators.ordering import BLOCK, with_row_number
 
 PAGE_ROWS = 1000
@@ -19,8 +19,8 @@ def recent_failures(tasks: DataFrame, now: dt.datetime, hours: int = 1) -> DataF
     start = now - dt.timedelta(hours=hours)
     started = F.col("query_start_time")
     return tasks.where(
-        (started >= F.lit(start).cast("timestamp_ntz"))
-        & (started <= F.lit(now).cast("timestamp_ntz"))
+        (started >= moment(start))
+        & (started <= moment(now))
         & (F.col("state") == "FAILED")
     )
 

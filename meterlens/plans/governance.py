@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
-from meterlens.functions.dates import last_days, to_day
+from meterlens.functions.dates import last_days, moment, to_day
 from meterlens.operators.arrays import explode_once
 from meterlens.plans.query_log import credits_per_query
 
@@ -93,7 +93,7 @@ def apply_retention_outcome(
         .otherwise(F.col("current_time_travel_duration"))
         .alias("current_time_travel_duration"),
         F.when(changed, F.lit("N")).otherwise(F.col("change_tt")).alias("change_tt"),
-        F.when(tried, F.lit(as_of).cast("timestamp_ntz"))
+        F.when(tried, moment(as_of))
         .otherwise(F.col("last_updated"))
         .alias("last_updated"),
         F.when(tried, note).otherwise(F.col("comments")).alias("comments"),
@@ -111,7 +111,7 @@ def retention_audit(inventory: DataFrame, outcomes: DataFrame, as_of: dt.datetim
     return attempts.select(
         *TABLE_KEY, "row_count", "owner",
         F.col("current_time_travel_duration").alias("time_travel_duration"),
-        F.lit(as_of).cast("timestamp_ntz").alias("last_updated"),
+        moment(as_of).alias("last_updated"),
         note.alias("comments"),
     )
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlens.functions.dates import DAY, shift_months, to_day
+from meterlens.functions.dates import DAY, moment, shift_months, to_day
 from meterlens.functions.text import canonical_scalar
 from meterlens.operators.arrays import explode_once
 from meterlens.sources.dated import (
@@ -57,7 +57,7 @@ def _audit(days: DataFrame, table: str, load_type: str, start_time: dt.datetime)
             "run_date",
             F.lit(table).alias("table_name"),
             F.lit(load_type).alias("load_type"),
-            F.lit(start_time).cast("timestamp_ntz").alias("start_time"),
+            moment(start_time).alias("start_time"),
             "row_count",
         )
     )
@@ -93,7 +93,7 @@ def backup_delta(
     up_to_date = strict if newest is None else newest >= dt.datetime.combine(bound, dt.time())
     delta = source.where(F.col(column) < F.lit(bound + DAY))
     if newest is not None:
-        delta = delta.where(F.col(column) > F.lit(newest).cast("timestamp_ntz"))
+        delta = delta.where(F.col(column) > moment(newest))
     if up_to_date:
         delta = delta.limit(0)
     else:

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlens.functions.dates import as_utc, from_utc
 from meterlens.sources.dated import UNITS, day_of_rows, with_period
 
 
@@ -18,10 +19,10 @@ class BackupRun:
 
 def daily_counts(stream: DataFrame, column: str, lag: str = "3 days") -> DataFrame:
     """Rows per day; a day is final once the watermark has passed its end."""
-    timed = stream.select(F.col(column).cast("timestamp").alias("event_time"))
+    timed = stream.select(as_utc(column).alias("event_time"))
     days = timed.withWatermark("event_time", lag).groupBy(F.window("event_time", "1 day"))
     counted = days.agg(F.count(F.lit(1)).alias("row_count"))
-    return counted.select(F.to_date("window.start").alias("run_date"), "row_count")
+    return counted.select(F.to_date(from_utc("window.start")).alias("run_date"), "row_count")
 
 
 def run_to_end(df: DataFrame, path: str, partition: str | None = None):

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from meterlens.functions.dates import moment
 from meterlens.plans import ingest
 from meterlens.sources import pages
 from meterlens.sources.usage_logs import base_table, usage_log, usage_log_stream
@@ -24,7 +25,7 @@ def _delta(log):
     """A copy that ends in the middle of a day, brought up to date and tried again."""
     history = log("query_history")
     dest = work_folder(history.sparkSession, "backup")
-    older = history.where(F.col("start_time") < F.lit(dt.datetime(1998, 6, 10, 12)).cast("timestamp_ntz"))
+    older = history.where(F.col("start_time") < moment(dt.datetime(1998, 6, 10, 12)))
     first = ingest.backup_initial(older, dest, "start_time", "query_history", STARTED, unit=UNIT)
     runs = [
         ingest.backup_delta(

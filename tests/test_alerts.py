@@ -52,7 +52,7 @@ def test_streamed_failures_equal_the_batch_below_the_watermark(spark, frame, tmp
     df = frame(TASKS, *(task(m, "FAILED" if m % 7 == 0 else "OK", event=m) for m in range(0, 300, 3)))
     stream = failure_stream(_stream_of(spark, df, str(tmp_path / "in")))
     run_to_end(stream, str(tmp_path / "out"))
-    final = F.col("window_end") <= F.lit(NOW - dt.timedelta(minutes=10)).cast("timestamp")
+    final = F.col("window_end") <= F.lit(NOW - dt.timedelta(minutes=10)).cast("timestamp_ntz")
     expected = rows(failure_stream(df).where(final), "window_start")
     assert rows(spark.read.parquet(str(tmp_path / "out")), "window_start") == expected
     assert len(expected) > 200
@@ -83,3 +83,16 @@ def test_daily_counts_equal_the_batch_audit(spark, frame, at, tmp_path):
     run_to_end(daily_counts(stream, "t"), str(tmp_path / "out"))
     batch = df.groupBy(F.to_date("t").alias("d")).count().where("d <= date '2024-01-16'")
     assert rows(spark.read.parquet(str(tmp_path / "out")), "run_date") == rows(batch, "d")
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, frame, tmp_path):
+    df = frame(TASKS, task(0), task(60), task(61), task(-1))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert alerts.recent_failures(df, NOW).count() == 2
+        windows = rows(failure_stream(df), "window_start")
+        assert windows[0][:2] == (NOW - dt.timedelta(minutes=120), NOW - dt.timedelta(minutes=60))
+        assert "2024-01-30 12:00:00" in rows(alerts.failure_digest(df, NOW))[0][2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
