@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from meterlens.functions.dates import moment
 from meterlens.plans import ingest
 from meterlens.sources import pages
-from meterlens.sources.usage_logs import base_table, usage_log, usage_log_stream
+from meterlens.sources.usage_logs import base_table, usage_log_stream
 from meterlens.sources.workdir import work_folder
 from meterlens.streaming.backup import stream_backup
 from registry.base import ORDERS_AS_OF, oracle, plain_types, query, report
