@@ -34,12 +34,16 @@ def flatten_attributes(
     if len(keys) > max_keys:
         raise ValueError(f"more than {max_keys} distinct attribute keys")
     values = F.from_json(attributes, "map<string,string>").alias("_values")
+    # Numbered names until the end: keys may differ in case only.
+    numbered = {f"_value{i}": key for i, key in enumerate(keys)}
     parsed = df.select(id, ids, values).select(
-        id, ids, *[canonical_scalar(F.col("_values")[key]).alias(key) for key in keys]
+        id, ids, *[canonical_scalar(F.col("_values")[k]).alias(n) for n, k in numbered.items()]
     )
     listed = F.from_json(ids, "array<string>")
-    exploded = explode_once(parsed, [id, *[f"`{key}`" for key in keys]], listed, "individual_id")
-    return exploded.select(id, "individual_id", *[f"`{key}`" for key in keys])
+    exploded = explode_once(parsed, [id, *numbered], listed, "individual_id")
+    return exploded.select(
+        id, "individual_id", *[F.col(name).alias(key) for name, key in numbered.items()]
+    )
 
 
 def audit_rows(

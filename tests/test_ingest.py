@@ -29,6 +29,14 @@ def test_attributes_of_mixed_type(frame):
         ingest.flatten_attributes(df, max_keys=3)
 
 
+def test_attribute_keys_may_differ_in_case_only(frame):
+    df = frame("id int, ids string, attributes string",
+               (1, "[7]", '{"k": 1, "K": "0.123456789012345", "a.b": -0.50}'))
+    flat = ingest.flatten_attributes(df)
+    assert flat.columns == ["id", "individual_id", "K", "a.b", "k"]
+    assert rows(flat) == [(1, "7", "0.123456789012345", "-0.5", "1")]
+
+
 @pytest.fixture
 def log(frame, at):
     def build(*times):
