@@ -13,7 +13,7 @@ from meterlens.llm.common import documents, map_batches, stored, whole_text
 
 LENGTH = 200  # bytes of a string that counts as repeated
 GRAM = 50  # bytes of an anchor
-SEGMENT = 2**21  # bytes looked at together; the positions of an anchor need 24 bits
+SEGMENT = 2**20  # bytes looked at together; the positions of an anchor need 24 bits
 GROUP = 1000  # contexts of one anchor that are sorted together
 BATCH = 2**18  # context bytes sorted at once
 
