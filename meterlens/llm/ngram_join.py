@@ -238,7 +238,7 @@ def _frequent(docs: DataFrame, text_col: str, total: int) -> np.ndarray:
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
     limit = int(share * 2**32)
     sample = docs.select(text_col).filter(F.crc32(F.col(text_col).cast("binary")) < limit)
-    least = max(4, int(share * total / 2000))
+    least = max(3, int(share * total / 10_000))
     rows = (
         map_batches(sample, run, "gram long").groupBy("gram").count()
         .filter(F.col("count") >= least).orderBy(F.desc("count"), "gram").limit(FREQUENT).collect()
@@ -370,10 +370,30 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         .filter("x <> y").select("key")
     )
-    rest = placed.join(open_keys, "key").distinct()
-    probing = rest.filter("probe").select("key", F.col("node").alias("p"), F.col("component").alias("p_in"))
+    # Size and folded bitmap are compared inside the join: pairs that can't link don't
+    # leave it.
+    half = BITMAP_WORDS // 2
+    folded = [f"f{i}" for i in range(half)]
+    short = described.filter("n > 0").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("bits").alias("bits")
+    ).select("node", "n", *[
+        F.element_at("bits", i + 1).bitwiseXOR(F.element_at("bits", i + 1 + half)).alias(f)
+        for i, f in enumerate(folded)
+    ])
+    rest = placed.join(open_keys, "key").distinct().join(short, "node")
+    probing = rest.filter("probe").select(
+        "key", F.col("node").alias("p"), F.col("component").alias("p_in"), F.col("n").alias("p_n"),
+        *[F.col(f).alias(f"p_{f}") for f in folded],
+    )
+    differ = sum(F.bit_count(F.col(f).bitwiseXOR(F.col(f"p_{f}"))) for f in folded)
+    possible = (
+        (F.col("p_in") != F.col("component"))
+        & (100 * F.least("n", "p_n") >= THRESHOLD * F.greatest("n", "p_n"))
+        & ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (F.col("n") + F.col("p_n")))
+    )
+    rest = rest.select(F.col("key").alias("rest_key"), "node", "component", "n", *folded)
     across = (
-        probing.join(rest.select("key", "node", "component"), "key").filter("p_in <> component")
+        probing.join(rest, (F.col("key") == F.col("rest_key")) & possible)
         .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
