@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from functools import cache
 
 import numpy as np
@@ -12,27 +13,21 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from meterlens.llm.common import documents, map_batches, number_rows, stored
 
 SEQUENCE = 2048
+MARKS = ".,;:!?"  # never part of a token with letters
 END = 0  # id after each document
 TOKENIZER = "word_bpe_49k.json"
 TRIPLE_LENGTHS = 24  # first lengths of the three-document patterns
 SWEEPS = 15  # of coordinate descent
-CACHE_WORDS = 400_000  # words whose ids a task keeps; then it starts anew
+CACHE_WORDS = 500_000  # words whose ids a worker keeps; then it starts anew
 
 Pattern = tuple[int, ...]
 
 
-@cache
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class WordIds:
     """Ids of texts by way of their words.
 
@@ -41,26 +36,53 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        self.model, self.known = tokenizer(path), {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.model, self.known = Tokenizer.from_file(path), {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [(t or "").encode().split() for t in texts]
+        words = [self._words(t or "") for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        new = list({w for text in words for w in text} - self.known.keys())
-        coded = self.model.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(
-            (w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, coded, strict=True)
-        )
+        new = {w for text in words for w in text} - self.known.keys()
+        parts = {w: self._parts(w.decode()) for w in new}
+        self._learn({p for part in parts.values() for p in part} - self.known.keys())
+        for w, part in parts.items():
+            self.known[w] = b"".join(map(self.known.__getitem__, part))
         return [b"".join(map(self.known.__getitem__, text)) for text in words]
 
+    @staticmethod
+    def _words(text: str) -> list[bytes]:
+        """Words with A-Z lowered as the tokenizer does, unless special tokens may be there."""
+        coded = text.encode()
+        return (coded if b"<|" in coded else coded.lower()).split()
+
+    @staticmethod
+    def _parts(word: str) -> list[bytes]:
+        """Letters and the marks after them, which are tokens of their own, or the word."""
+        stem = word.rstrip(MARKS)
+        if stem.isalpha() and stem != word:
+            return [stem.encode(), word[len(stem) :].encode()]
+        return [word.encode()]
+
+    def _learn(self, words: set[bytes]) -> None:
+        part = list(words)
+        coded = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+        for w, c in zip(part, coded, strict=True):
+            self.known[w] = array("I", c.ids).tobytes()
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One coder per worker, whose known words serve all its tasks."""
+    return WordIds(path)
+
 
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, size: int) -> DataFrame:
     """Rows (id, piece, start, length, ids_crc32): documents with their end id, cut to size."""
 
     def cut(batches):
-        coder = WordIds(path)
+        coder = word_ids(path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for at in range(0, len(texts), 1000):
