@@ -336,7 +336,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Documents of equal sets are one node. Each node splits the shingle universe into
     segments and is found by any segment that a linked node keeps. All nodes of a key
-    are first compared with the key's smallest node only; then, for keys whose nodes are
+    are first compared with the key's first probing node only; then, for keys whose nodes are
     not yet in one component, every probing node with all nodes of other components.
     So a large group of near copies is never listed as pairs, yet no link is lost that
     could change a component.
@@ -344,21 +344,21 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = docs.select(id_col, text_col)
     described = stored(_described(docs, id_col, text_col), "join-described")
     frequent = _frequent(docs, text_col, described.count())
-    order = Window.partitionBy("key").orderBy("node")
-    first, following = F.first("node").over(order), F.lead("node").over(order)
+    # Probing nodes come first in a key, so the first one tells whether any probes it.
+    order = Window.partitionBy("key").orderBy(F.desc("probe"), "node")
     shared = stored(
         _keyed(docs, text_col, frequent)
-        .withColumn("first", first)
-        .withColumn("first_probe", F.first("probe").over(order))
-        .withColumn("next", following)
-        .filter((F.col("node") != F.col("first")) | (F.col("next") != F.col("node")))
-        .select("key", "node", "probe", "first", "first_probe"),
+        .withColumn("first", F.first("node").over(order))
+        .withColumn("probed", F.first("probe").over(order))
+        .withColumn("next", F.lead("node").over(order))
+        .filter("probed").filter((F.col("node") != F.col("first")) | (F.col("next") != F.col("node")))
+        .select("key", "node", "probe", "first"),
         "join-keys",
     )
     sets = lambda wanted: _sets(docs, text_col, wanted, described, id_col)
     stars = (
-        shared.filter("node <> first and (probe or first_probe)")
-        .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+        shared.filter("node <> first")
+        .select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
     )
     links = stored(_linked(stars, described, sets), "join-links")
     labels = connected_components(links)
