@@ -38,16 +38,17 @@ def failure_digest(
     """The digest as complete HTML bodies of at most ``page_rows`` failures each.
 
     A usual hour gives one page, which is the whole digest. A flood of failures becomes
-    further pages, so none is left out and no task concatenates more than a page. Rows
-    are ordered by start time; without failures there is one page saying so.
+    further pages, so none is left out and no task concatenates more than a page. A value
+    that is null shows as an empty cell. Rows are ordered by start time; without failures
+    there is one page saying so.
     """
     error = F.left("error_message", F.lit(fixed.DIGEST_ERROR_LENGTH))
     shown_time = F.date_format("query_start_time", "yyyy-MM-dd HH:mm:ss")
-    cells = [F.col("name"), F.col("database_name"), F.col("schema_name"), error, shown_time]
+    shown = [F.col("name"), F.col("database_name"), F.col("schema_name"), error, shown_time]
+    cells = [F.coalesce(cell, F.lit("")) for cell in shown]
     rows = (
         recent_failures(tasks, now, hours)
         .withColumn("html", F.concat(*_cells("td", cells)))
-        .where(F.col("html").isNotNull())
         .withColumn("_second", second_number("query_start_time"))
     )
     # Many scheduled tasks start at one instant: ids split even that into small slots.

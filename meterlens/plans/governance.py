@@ -79,10 +79,14 @@ def apply_retention_outcome(
 ) -> DataFrame:
     """Inventory after the attempts: ``outcomes`` has the table key and ``succeeded``.
 
-    Only flagged rows change. A success clears the flag and sets the new duration, a
+    Of several attempts on a table the latest by ``attempted_at`` counts; without that
+    column, a success among them. Only flagged rows change. A success clears the flag and sets the new duration, a
     failure leaves both; both note a comment and the time.
     """
-    attempted = outcomes.select(*TABLE_KEY, F.col("succeeded").alias("_succeeded"))
+    latest = F.max("succeeded")
+    if "attempted_at" in outcomes.columns:
+        latest = F.max_by("succeeded", "attempted_at")
+    attempted = outcomes.groupBy(*TABLE_KEY).agg(latest.alias("_succeeded"))
     joined = inventory.join(attempted, TABLE_KEY, "left")
     tried = (F.col("change_tt") == "Y") & F.col("_succeeded").isNotNull()
     changed = tried & F.col("_succeeded")
@@ -151,19 +155,27 @@ def tagged_objects(
 
 def mask_by_tag(
     df: DataFrame, column_tags: DataFrame, tag: str = fixed.MASKED_TAG,
-    value: str = fixed.MASKED_TAG_VALUE,
+    value: str = fixed.MASKED_TAG_VALUE, table: str | None = None,
 ) -> DataFrame:
     """Replace the values of columns whose tag has the masked class.
 
-    Only names of this table's columns are fetched, so the fetch is bounded by its width.
+    Names are compared without regard to case, as both catalogs do. With ``table``, only
+    tags whose ``object_name`` is that table count. Only names of this table's columns are
+    fetched, so the fetch is bounded by its width.
     """
     tagged = column_tags.where(
-        (F.col("tag_name") == tag) & (F.col("tag_value") == value)
-        & F.col("column_name").isin(df.columns)
+        (F.upper("tag_name") == tag.upper()) & (F.col("tag_value") == value)
+        & F.upper("column_name").isin([c.upper() for c in df.columns])
     )
-    names = {row.column_name for row in tagged.select("column_name").distinct().collect()}
+    if table is not None:
+        tagged = tagged.where(F.upper("object_name") == table.upper())
+    upper = tagged.select(F.upper("column_name").alias("name")).distinct()
+    names = {row.name for row in upper.collect()}
     return df.select(
-        *[F.lit(fixed.MASK).alias(c) if c in names else F.col(f"`{c}`") for c in df.columns]
+        *[
+            F.lit(fixed.MASK).alias(c) if c.upper() in names else F.col(f"`{c}`")
+            for c in df.columns
+        ]
     )
 
 

@@ -6,6 +6,8 @@ Pages form a table ``(endpoint, page_no, payload)``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,32 +27,36 @@ def read_saved_pages(spark: SparkSession, folder: str) -> DataFrame:
 def page_records(pages: DataFrame, page_size: int = fixed.PAGE_SIZE) -> DataFrame:
     """One JSON text per record, up to and including each endpoint's first short page.
 
-    A missing, empty or unreadable page also ends its endpoint. Only page numbers and
-    sizes are compared: the payloads stay where they are and are parsed once.
+    An empty list is a short page. A missing or unreadable page gives no records and ends
+    nothing: saved pages behind it are kept. Only page numbers and sizes are compared, and
+    the last numbers, one per endpoint of the service, are broadcast: payloads stay where
+    they are and are parsed once.
     """
     wrapped = F.get_json_object("payload", "$.results")
     bare = F.when(F.ltrim("payload").startswith("["), F.col("payload"))
     listed = F.coalesce(wrapped, bare)
-    size = F.coalesce(F.json_array_length(listed), F.lit(0))
-    numbers = pages.select("endpoint", "page_no")
-    followed = numbers.select("endpoint", (F.col("page_no") - 1).alias("page_no"))
-    ends = pages.where(size < page_size).select("endpoint", "page_no").unionByName(
-        numbers.join(followed, ["endpoint", "page_no"], "left_anti")
+    short = pages.where(F.json_array_length(listed) < page_size)
+    last = short.groupBy("endpoint").agg(F.min("page_no").alias("_last"))
+    kept = pages.join(F.broadcast(last), "endpoint", "left").where(
+        F.col("_last").isNull() | (F.col("page_no") <= F.col("_last"))
     )
-    last = ends.groupBy("endpoint").agg(F.min("page_no").alias("_last"))
-    kept = pages.join(last, "endpoint").where(F.col("page_no") <= F.col("_last"))
     return explode_once(
         kept, ["endpoint", "page_no"], F.from_json(listed, "array<string>"), "record"
     )
 
 
+# A quoted name, or a word where a type stands: names never follow ": " or "ARRAY<".
+_TYPE_WORDS = re.compile(r"`(?:[^`]|``)*`|(?:(?<=: )|(?<=ARRAY<))(OBJECT(?=<)|VARIANT|VOID)(?=[<>,])")
+_SPARK_TYPES = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+
+
 def _inferred_schema(records: DataFrame) -> T.StructType | None:
     """Schema of all records, merged in the executors; one short text reaches the driver."""
     merged = records.agg(F.schema_of_variant_agg(F.try_parse_json("record")).alias("s")).first().s
     if merged is None or not merged.startswith("OBJECT<"):
         return None
-    ddl = merged.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING")
-    return T.StructType.fromDDL(ddl[len("STRUCT<"):-1].replace("VOID", "STRING"))
+    ddl = _TYPE_WORDS.sub(lambda m: _SPARK_TYPES.get(m[1], m[0]), merged)
+    return T.StructType.fromDDL(ddl[len("OBJECT<"):-1])
 
 
 def _leaves(column: Column, kind: T.DataType, name: str) -> list[Column]:

@@ -19,8 +19,9 @@ QUERIES = {
 }
 
 _FAILED = """failed as (
-select *, '<tr><td>' || name || '</td><td>' || database_name || '</td><td>' || schema_name
-  || '</td><td>' || left(error_message, 100) || '</td><td>'
+select *, '<tr><td>' || coalesce(name, '') || '</td><td>' || coalesce(database_name, '')
+  || '</td><td>' || coalesce(schema_name, '')
+  || '</td><td>' || coalesce(left(error_message, 100), '') || '</td><td>'
   || strftime(query_start_time, '%Y-%m-%d %H:%M:%S') || '</td></tr>' as html
 from task_history where state = 'FAILED'
   and query_start_time between timestamp '2024-01-30 12:00:00' and timestamp '2024-01-30 13:00:00')"""

@@ -29,7 +29,8 @@ def test_no_failed_task(frame):
 def test_digest_orders_rows_and_shortens_errors(frame):
     df = frame(TASKS, task(0, event=3), task(60, error="e" * 150, event=1), task(-1), task(5, error=None))
     ((page, failures, html),) = rows(alerts.failure_digest(df, NOW))
-    assert (page, failures) == (1, 2)
+    assert (page, failures) == (1, 3)
+    assert "<td></td>" in html
     assert html.startswith("<p>The following tasks have failed") and html.endswith("</table>")
     assert "<td>" + "e" * 100 + "</td>" in html
     assert html.index("2024-01-30 12:00:00") < html.index("2024-01-30 13:00:00")

@@ -90,6 +90,30 @@ def test_masking_keeps_rows_and_other_columns(frame):
     assert rows(g.mask_by_tag(df, tags), "n") == [("**Masked**", 1), ("**Masked**", 2)]
 
 
+def test_masking_ignores_case_and_can_ask_for_the_table(frame):
+    df = frame("email string, n int", ("a", 1))
+    tags = frame("object_name string, column_name string, tag_name string, tag_value string",
+                 ("T", "EMAIL", "SECURITY_CLASS", "PII"), ("OTHER", "N", "security_class", "PII"))
+    assert rows(g.mask_by_tag(df, tags, table="t")) == [("**Masked**", 1)]
+    assert rows(g.mask_by_tag(df, tags)) == [("**Masked**", "**Masked**")]
+
+
+def test_the_latest_of_several_attempts_counts(frame, at):
+    key = "table_catalog string, table_schema string, table_name string"
+    inventory = frame(
+        f"{key}, storage_bytes bigint, row_count bigint, owner string, "
+        "current_time_travel_duration int, change_tt string, last_updated timestamp_ntz, comments string",
+        ("D", "S", "T", 1, 1, "o", 9, "Y", None, ""),
+    )
+    tries = frame(f"{key}, succeeded boolean, attempted_at int",
+                  ("D", "S", "T", False, 1), ("D", "S", "T", True, 2))
+    now = at("1998-07-01 06:00:00")
+    (row,) = g.apply_retention_outcome(inventory, tries, now).collect()
+    assert row.change_tt == "N"
+    (row,) = g.apply_retention_outcome(inventory, tries.drop("attempted_at"), now).collect()
+    assert row.change_tt == "N"
+
+
 def test_cost_is_split_over_distinct_tables(frame, at):
     log = frame(
         "query_id bigint, base_objects_accessed string",

@@ -4,9 +4,10 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry
+import registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.all_queries(), registry.all_oracles()
 
 
 @pytest.fixture(scope="module")
