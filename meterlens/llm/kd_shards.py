@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterlens.llm.common import documents, number_rows, stored, whole_text
 
 CODE_BITS = 31  # of a dimension's code; a key adds 32 bits of the text's hash
-DIGIT_BITS = (13, 13, 13, 12, 12)  # of a 63-bit key, highest first
+DIGIT_BITS = (16, 16, 16, 15)  # of a 63-bit key, highest first
 
 
 def category(value: Column) -> Column:
