@@ -1,14 +1,14 @@
-"""Shape of every registered query's plan."""
+"""Shape of every report's plan."""
 
 import re
 
 import pytest
 from conftest import plan
 
-import __spark_entry__ as entry
+import registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = registry.all_queries()
 # These write or stream before they return a table that is simply read.
 EAGER = ("m10_", "i02_", "i03_", "i04_", "i05_", "i06_", "i08_", "a03_")
 
