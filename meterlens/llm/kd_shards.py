@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlens.llm.common import documents, number_rows, stored, whole_text
@@ -23,6 +23,16 @@ def amount(value: Column) -> Column:
     return F.least(F.greatest(F.coalesce(value, F.lit(0)), F.lit(0)), F.lit(2**CODE_BITS - 1)).cast("long")
 
 
+def _node_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a few driver rows as literals, so that no Python runs for it."""
+    names = [field.split() for field in schema.split(", ")]
+    structs = [
+        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, names, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _weighted_medians(units: DataFrame, goals: DataFrame) -> list:
     """For each node of ``goals`` (node, dim, goal, bounded by the leaves) the key at which
     its running weight first reaches the goal, and the weights before and with that key.
@@ -53,7 +63,8 @@ def _weighted_medians(units: DataFrame, goals: DataFrame) -> list:
             )
         )
         rows = found.collect()  # one per node
-        state = spark.createDataFrame(
+        state = _node_table(
+            spark,
             [(r.node, r.dim, r.goal, r.high, r.below) for r in rows],
             "node int, dim int, goal long, high long, below long",
         )
@@ -132,7 +143,7 @@ def kd_shards(
         if not goals:
             break
         found = _weighted_medians(
-            placed, spark.createDataFrame(goals, "node int, dim int, goal long")
+            placed, _node_table(spark, goals, "node int, dim int, goal long")
         )
         splits = []
         for r in found:
@@ -143,7 +154,7 @@ def kd_shards(
             for node, n in sizes.items()
             for node, part in ([(node, n)] if n == 1 else [(node, (n + 1) // 2), (node + (n + 1) // 2, n // 2)])
         }
-        cut = spark.createDataFrame(splits, "node int, dim int, last long, right int")
+        cut = _node_table(spark, splits, "node int, dim int, last long, right int")
         goes_right = F.element_at("keys", F.col("dim") + 1) > F.col("last")
         placed = placed.join(F.broadcast(cut), "node", "left").select(
             "digest", "weight", "keys",
