@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
 import pathlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,14 +30,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _give_memory_back() -> None:
+    """Workers outlive their tasks and share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no such call in other C libraries
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` whose Python workers find this package where it lies on the same path;
-    elsewhere it is shipped with ``--py-files``."""
+    elsewhere it is shipped with ``--py-files``. A task's memory is given back at its end."""
+
+    def run(batches):
+        yield from function(batches)
+        _give_memory_back()
+
     environment = df.sparkSession.sparkContext.environment
     root = str(pathlib.Path(__file__).resolve().parents[2])
     if root not in environment.get("PYTHONPATH", "").split(":"):
         environment["PYTHONPATH"] = f"{root}:{environment.get('PYTHONPATH', '')}".rstrip(":")
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def whole_text(text: Column) -> Column:

@@ -17,7 +17,7 @@ BAND = 1.6  # sizes of a band lie within this ratio
 SPARE = 1.2  # segments per needed one, so that poor ones can be left out
 DELETION_SIZE = 128  # bands up to this start index one-deletion neighbours
 SAMPLE_DOCS, FREQUENT = 20_000, 200_000  # bounds of the sample for costs and of its result
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 BITMAP_WORDS = 16  # 64-bit words of the parity bitmap
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
