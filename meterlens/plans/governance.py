@@ -13,6 +13,7 @@ from meterlens.operators.arrays import explode_once
 from meterlens.plans.query_log import credits_per_query
 
 TABLE_KEY = ["table_catalog", "table_schema", "table_name"]
+OBJECT_KEY = ["object_database", "object_schema", "object_name"]
 COLUMN_KEY = ["database_name", "schema_name", "table_name", "column_name"]
 
 
@@ -181,15 +182,21 @@ def mask_by_tag(
 
 def cost_by_tag(
     access: DataFrame, query_history: DataFrame, attribution: DataFrame,
-    tag_references: DataFrame, tag: str = "DEPARTMENT",
+    tag_references: DataFrame, tag: str = "DEPARTMENT", as_of: dt.date | str | None = None,
+    days: int = 30,
 ) -> DataFrame:
-    """Credits and users per tag value and warehouse.
+    """Credits and uses per tag value, object, warehouse and user.
 
-    A query's credits are split evenly over the distinct tables it reads (objects with a
-    three-part name). The shares are summed per table name, warehouse and user before the
-    tags are joined, so a table that much of the log reads meets the tag list as a few
-    rows.
+    Tags belong to an object by database, schema and name. With ``as_of`` only the last
+    ``days`` of all three logs count. A query's credits are split evenly over the distinct
+    tables it reads (objects with a three-part name). The shares are summed per table,
+    warehouse and user before the tags are joined, so a table that much of the log reads
+    meets the tag list as a few rows.
     """
+    if as_of is not None:
+        access = access.where(last_days("query_start_time", as_of, days))
+        query_history = query_history.where(last_days("start_time", as_of, days))
+        attribution = attribution.where(last_days("start_time", as_of, days))
     objects = accessed_objects(access, "query_id")
     objects = objects.where(F.col("query_id").isNotNull() & F.col("table_name").isNotNull())
     objects = objects.distinct()
@@ -206,14 +213,14 @@ def cost_by_tag(
     keys = ["warehouse_name", "user_name"]
     per_object = (
         objects.join(queries, "query_id")
-        .groupBy(F.col("table_name").alias("object_name"), *keys)
+        .groupBy(*[F.col(c).alias(name) for c, name in zip(TABLE_KEY, OBJECT_KEY)], *keys)
         .agg(F.sum("_share").alias("_share"), F.count(F.lit(1)).alias("_uses"))
     )
     tags = tag_references.where(
         (F.col("tag_name") == tag) & (F.col("domain") == "TABLE")
-    ).select("object_name", "tag_value")
+    ).select(*OBJECT_KEY, "tag_value")
     return (
-        per_object.join(tags, "object_name")
-        .groupBy("tag_value", *keys)
+        per_object.join(tags, OBJECT_KEY)
+        .groupBy("tag_value", *OBJECT_KEY, *keys)
         .agg(F.sum("_share").alias("credits"), F.sum("_uses").alias("object_uses"))
     )

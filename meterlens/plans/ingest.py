@@ -15,6 +15,7 @@ from meterlens.sources.dated import (
     drop_rows_before,
     newest_value,
     period_column,
+    read_dated,
     write_dated,
 )
 
@@ -78,7 +79,7 @@ def backup_initial(
     """
     rows = source if limit is None else source.limit(limit)
     write_dated(rows, dest, column, "errorifexists", unit)
-    copied = source.sparkSession.read.parquet(dest)
+    copied = read_dated(source.sparkSession, dest)
     day = day_of_rows(copied, column) if limit is None else F.lit(start_time.date())
     return _audit(copied.select(day.alias("run_date")), table, "initial", start_time)
 
@@ -89,20 +90,37 @@ def backup_delta(
 ) -> DataFrame:
     """Append the rows newer than the copy, up to ``lag_days`` before ``as_of``.
 
-    Returns audit rows per day, none if the copy is already up to date. An empty copy
-    loads everything up to the lag; ``strict`` makes it count as up to date instead.
+    Returns audit rows per day, counted on the copy; none if it is already up to date. An
+    empty copy loads everything up to the lag; ``strict`` makes it count as up to date
+    instead.
     """
+    spark = source.sparkSession
     bound = to_day(as_of) - lag_days * DAY
-    newest = newest_value(source.sparkSession.read.parquet(dest), column)
+    newest = newest_value(spark, dest, column)
     up_to_date = strict if newest is None else newest >= dt.datetime.combine(bound, dt.time())
-    delta = source.where(F.col(column) < F.lit(bound + DAY))
+    added = F.col(column) < F.lit(bound + DAY)
     if newest is not None:
-        delta = delta.where(F.col(column) > moment(newest))
+        added = added & (F.col(column) > moment(newest))
     if up_to_date:
-        delta = delta.limit(0)
-    else:
-        write_dated(delta, dest, column, "append", unit)
-    return audit_rows(delta, column, table, "delta", start_time)
+        return audit_rows(source.limit(0), column, table, "delta", start_time)
+    write_dated(source.where(added), dest, column, "append", unit)
+    copied = read_dated(spark, dest)
+    if newest is not None:
+        first = newest.date() if unit == "day" else newest.date().replace(day=1)
+        copied = copied.where(F.col(period_column(copied)) >= F.lit(first))
+    return audit_rows(copied.where(added), column, table, "delta", start_time)
+
+
+def store_audit(audit: DataFrame, path: str) -> None:
+    """Add the audit rows of a load to a stored audit table. Storing the same load (table,
+    type and start time) again replaces its rows."""
+    keyed = audit.withColumn("load_id", F.date_format("start_time", "yyyyMMddHHmmss"))
+    (
+        keyed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("table_name", "load_type", "load_id")
+        .parquet(path)
+    )
 
 
 def purge_older_than(
@@ -117,7 +135,7 @@ def purge_older_than(
     day = to_day(as_of)
     cutoff = shift_months(day, -12 * years)
     earlier = shift_months(day - lag_days * DAY, -12 * years)
-    table = spark.read.parquet(path)
+    table = read_dated(spark, path)
     old = table.where(
         (F.col(period_column(table)) < F.lit(cutoff)) & (F.col(column) < F.lit(cutoff))
     )

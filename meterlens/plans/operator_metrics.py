@@ -16,7 +16,12 @@ from meterlens.functions import fixed_values as fixed
 from meterlens.functions.dates import last_days, to_day
 from meterlens.operators.joins import broadcast_up_to
 from meterlens.operators.ordering import with_previous
-from meterlens.sources.dated import drop_partitions, overwrite_periods, partition_days
+from meterlens.sources.dated import (
+    drop_partitions,
+    overwrite_periods,
+    partition_days,
+    read_dated,
+)
 
 WINDOWS = {"7_days": (6, 0), "8_14_days": (14, 8)}
 FLAGS = (
@@ -213,4 +218,4 @@ def load_metric_summary(
         drop_partitions(spark, store, [old for old in loaded if old < oldest])
         summary = operator_metric_summary(query_history, operators, day, top_n=top_n)
         overwrite_periods(summary, store, "load_date")
-    return spark.read.parquet(store)
+    return read_dated(spark, store)

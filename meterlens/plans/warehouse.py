@@ -169,13 +169,15 @@ def idle_gaps(
     metering: DataFrame, queries: DataFrame, day: dt.date | str | None = None,
     warehouse: str | None = None,
 ) -> DataFrame:
-    """Each metering interval with the next query starting after it, on the same day.
-
-    Works warehouse by warehouse and day by day; ``day`` and ``warehouse`` restrict it.
-    Gaps are whole seconds above zero; ``later_queries`` counts all queries of that day
-    behind the gap, instead of listing each of them with each interval. Queries are first reduced to one row per warehouse
-    and second, so a day holds at most 86,400 of them however busy the warehouse is;
-    one backward pass then carries the next start to every interval end.
+    """Each metering interval with the next query starting after it.
+
+    ``day`` restricts intervals and queries to one day, ``warehouse`` to one warehouse.
+    Gaps are whole seconds above zero; ``later_queries`` counts the queries behind the
+    gap on the day of the next query, instead of listing each of them with each interval.
+    Queries are first reduced to one row per warehouse and second, so a day holds at most
+    86,400 of them however busy the warehouse is; one backward pass then carries the next
+    start to every interval end. An end without a later query on its day takes the first
+    query of the next day that has one, from one row per warehouse and day.
     """
     if day is not None:
         one_day = within("start_time", to_day(day), to_day(day) + DAY)
@@ -186,7 +188,7 @@ def idle_gaps(
     keys = ["warehouse_name", "_day"]
     intervals = (
         metering.where(F.col("start_time") <= F.col("end_time"))
-        .select("warehouse_name", F.to_date("start_time").alias("_day"), "start_time", "end_time")
+        .select("warehouse_name", F.to_date("end_time").alias("_day"), "start_time", "end_time")
         .distinct()
     )
     ends = intervals.select(
@@ -216,9 +218,28 @@ def idle_gaps(
     carried = ends.unionByName(starts).withColumns(
         {"_next": F.min("_query_start").over(later), "_later": F.sum("_queries").over(later)}
     )
+    daily = starts.groupBy(*keys).agg(
+        F.struct(F.min("_query_start").alias("start"), F.sum("_queries").alias("n")).alias("_own")
+    )
+    following = (
+        Window.partitionBy("warehouse_name")
+        .orderBy(F.desc("_day"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    overnight = ends.select(*keys).distinct().join(daily, keys, "full").select(
+        *keys, F.min("_own").over(following).alias("_other")
+    )
     gap = second_number("_next") - F.col("_second")
     return (
-        carried.where((F.col("_is_query") == 0) & F.col("_next").isNotNull())
+        carried.where(F.col("_is_query") == 0)
+        .join(overnight, keys, "left")
+        .withColumns(
+            {
+                "_later": F.when(F.col("_next").isNull(), F.col("_other.n")).otherwise(F.col("_later")),
+                "_next": F.coalesce("_next", "_other.start"),
+            }
+        )
+        .where(F.col("_next").isNotNull())
         .select(
             "warehouse_name",
             F.col("start_time").alias("warehouse_start_time"),

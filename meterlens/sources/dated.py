@@ -8,14 +8,17 @@ same files.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlens.functions.dates import DAY, shift_months
 from meterlens.sources.workdir import work_folder
 
 UNITS = {"day": "_day", "month": "_month"}
+SCHEMA_FOLDER = "_schema"  # readers of the data skip names with a leading underscore
 
 
 def with_period(df: DataFrame, column: str, unit: str) -> DataFrame:
@@ -31,8 +34,25 @@ def write_dated(df: DataFrame, path: str, column: str, mode: str, unit: str = "d
     merge small ones.
     """
     period = UNITS[unit]
-    dated = with_period(df, column, unit).hint("rebalance", period)
-    dated.write.mode(mode).partitionBy(period).parquet(path)
+    dated = with_period(df, column, unit)
+    dated.hint("rebalance", period).write.mode(mode).partitionBy(period).parquet(path)
+    keep_schema(dated, path)
+
+
+def keep_schema(df: DataFrame, path: str) -> None:
+    """Keep the schema beside the data: a table without partitions has no file to tell it."""
+    text = df.sparkSession.range(1).select(F.lit(df.schema.json()).alias("value"))
+    text.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+
+
+def read_dated(spark: SparkSession, path: str) -> DataFrame:
+    """The table, also when it has no partition (any more)."""
+    folder = f"{path}/{SCHEMA_FOLDER}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.read.parquet(path)
+    schema = T.StructType.fromJson(json.loads(spark.read.text(folder).first()[0]))
+    return spark.read.schema(schema).parquet(path)
 
 
 def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
@@ -43,6 +63,7 @@ def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
         .partitionBy(period)
         .parquet(path)
     )
+    keep_schema(df, path)
 
 
 def period_column(table: DataFrame) -> str:
@@ -56,13 +77,15 @@ def day_of_rows(table: DataFrame, column: str) -> Column:
     return F.col(UNITS["day"]) if by_day else F.to_date(column)
 
 
-def newest_value(table: DataFrame, column: str) -> dt.datetime | None:
-    """Latest value of the time column, read from the newest partition only."""
-    period = period_column(table)
-    newest = table.agg(F.max(period)).first()[0]
-    if newest is None:
+def newest_value(spark: SparkSession, path: str, column: str) -> dt.datetime | None:
+    """Latest value of the time column; the newest partition is known from the folder
+    names, and only its files are read."""
+    days = partition_days(spark, path)
+    if not days:
         return None
-    return table.where(F.col(period) == F.lit(newest)).agg(F.max(column)).first()[0]
+    table = read_dated(spark, path)
+    newest = table.where(F.col(period_column(table)) == F.lit(days[-1]))
+    return newest.agg(F.max(column)).first()[0]
 
 
 def _partition_folders(spark: SparkSession, path: str):
@@ -102,7 +125,7 @@ def drop_rows_before(spark: SparkSession, path: str, column: str, cutoff: dt.dat
     days = [day for day in partition_days(spark, path) if day < cutoff]
     if not days:
         return
-    table = spark.read.parquet(path)
+    table = read_dated(spark, path)
     period, last = period_column(table), days[-1]
     end = last + DAY if period == UNITS["day"] else shift_months(last, 1)
     drop_partitions(spark, path, days if end <= cutoff else days[:-1])

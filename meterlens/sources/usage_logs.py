@@ -155,9 +155,13 @@ select 'ACC_0' as account_name, concat('WH_', cast(s_suppkey as string)) as wh_n
 from supplier where s_suppkey < 6
 """,
     "tag_references": """
-select 'TABLE' as domain, concat('T', cast(p_partkey as string)) as object_name, 'GOV' as tag_database, 'PUBLIC' as tag_schema,
+select 'TABLE' as domain, concat('DB', cast(p_partkey % 4 as string)) as object_database, concat('S', cast(p_partkey % 3 as string)) as object_schema,
+  concat('T', cast(p_partkey as string)) as object_name, 'GOV' as tag_database, 'PUBLIC' as tag_schema,
   'DEPARTMENT' as tag_name, case p_size % 3 when 0 then 'finance' when 1 then 'transfers' else 'ops' end as tag_value
 from part
+union all
+select 'TABLE', 'DB9', concat('S', cast(p_partkey % 3 as string)), concat('T', cast(p_partkey as string)), 'GOV', 'PUBLIC', 'DEPARTMENT', 'archive'
+from part where p_size % 7 = 0
 """,
     "comment_catalog": """
 select concat('DB', cast(p_partkey % 4 as string)) as database_name, concat('S', cast(p_partkey % 3 as string)) as schema_name,

@@ -50,7 +50,7 @@ QUERIES = {
     "g06_mask_by_tag": _masked,
     "g07_cost_by_tag": report(
         governance.cost_by_tag, "access_history", "query_history", "query_attribution_history",
-        "tag_references",
+        "tag_references", as_of=ORDERS_AS_OF, days=179,
     ),
 }
 
@@ -116,18 +116,22 @@ select c_custkey, '**Masked**' as c_name, cast(c_nationkey as bigint) as c_natio
 with objects as (
   select distinct query_id, json_extract_string(object, '$.objectName') as name
   from (select query_id, unnest(from_json(base_objects_accessed, '["json"]')) as object
-        from access_history) o),
+        from access_history
+        where query_start_time >= date '1998-01-03' and query_start_time < date '1998-07-02') o),
 spread as (select query_id, count(*) as objects from objects group by 1),
 credited as (
   select query_id, sum(credits_attributed_compute) as credits
-  from query_attribution_history group by 1),
+  from query_attribution_history
+  where start_time >= date '1998-01-03' and start_time < date '1998-07-02' group by 1),
 shares as (
-  select split_part(name, '.', 3) as object_name, warehouse_name, user_name,
+  select name, warehouse_name, user_name,
     cast(round(cast(credits as double) / objects, 8) as decimal(28,8)) as share
   from objects join spread using (query_id) join query_history using (query_id)
-  join credited using (query_id))
-select tag_value, warehouse_name, user_name, cast(sum(share) as double) as credits,
-  count(*) as object_uses
-from shares join tag_references using (object_name)
-where tag_name = 'DEPARTMENT' and domain = 'TABLE' group by 1, 2, 3"""),
+  join credited using (query_id)
+  where start_time >= date '1998-01-03' and start_time < date '1998-07-02')
+select tag_value, object_database, object_schema, object_name, warehouse_name, user_name,
+  cast(sum(share) as double) as credits, count(*) as object_uses
+from shares join tag_references
+  on name = object_database || '.' || object_schema || '.' || object_name
+where tag_name = 'DEPARTMENT' and domain = 'TABLE' group by 1, 2, 3, 4, 5, 6"""),
 }

@@ -111,6 +111,27 @@ join query_activity q on q.warehouse_name = m.warehouse_name
 where m.start_time <= m.end_time {0}
 group by m.warehouse_name, m.start_time, m.end_time"""
 
+_ALL_GAPS = """
+with intervals as (
+  select distinct warehouse_name, start_time, end_time from warehouse_metering_history
+  where start_time <= end_time),
+nearest as (
+  select m.warehouse_name, m.start_time, m.end_time, min(q.start_time) as next_start
+  from intervals m join query_activity q on q.warehouse_name = m.warehouse_name
+    and date_trunc('second', q.start_time) > date_trunc('second', m.end_time)
+  group by 1, 2, 3)
+select n.warehouse_name,
+  strftime(n.start_time, '%Y-%m-%d %H:%M:%S') as warehouse_start_time,
+  strftime(n.end_time, '%Y-%m-%d %H:%M:%S') as warehouse_end_time,
+  strftime(n.next_start, '%Y-%m-%d %H:%M:%S') as next_query_start_time,
+  epoch_us(date_trunc('second', n.next_start)) // 1000000
+    - epoch_us(date_trunc('second', n.end_time)) // 1000000 as idle_seconds,
+  count(*) as later_queries
+from nearest n join query_activity q on q.warehouse_name = n.warehouse_name
+  and cast(q.start_time as date) = cast(n.next_start as date)
+  and date_trunc('second', q.start_time) > date_trunc('second', n.end_time)
+group by n.warehouse_name, n.start_time, n.end_time, n.next_start"""
+
 ORACLES = {
     "w01_credit_trend_monthly": _trend(
         "month", ["1998-03-01", "1998-04-01", "1998-05-01", "1998-06-01", "1998-07-01"],
@@ -138,7 +159,7 @@ with usage as (
 {_SHARE.format('cast(credits as double) * 3600')}"""),
     "w06_sized_utilisation": _sized("m.credits_used_compute", ""),
     "w06_sized_utilisation_daily": _sized("sum(m.credits_used_compute)", "group by 1, 2, 4"),
-    "w07_idle_gaps": oracle(_GAPS.format("")),
+    "w07_idle_gaps": oracle(_ALL_GAPS),
     "w07_idle_gaps_report": oracle(
         _GAPS.format(
             "and cast(m.start_time as date) = date '2024-01-15' and m.warehouse_name = 'WH_3'"

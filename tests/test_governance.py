@@ -124,8 +124,11 @@ def test_cost_is_split_over_distinct_tables(frame, at):
                     (1, "W", "u"), (2, "W", "u"))
     attribution = frame("query_id bigint, credits_attributed_compute decimal(18,4)",
                         (1, 3), (1, 1), (2, 5))
-    tags = frame("domain string, object_name string, tag_name string, tag_value string",
-                 ("TABLE", "T", "DEPARTMENT", "finance"), ("TABLE", "U", "DEPARTMENT", "ops"))
+    tags = frame("domain string, object_database string, object_schema string, "
+                 "object_name string, tag_name string, tag_value string",
+                 ("TABLE", "D", "S", "T", "DEPARTMENT", "finance"),
+                 ("TABLE", "D", "S", "U", "DEPARTMENT", "ops"),
+                 ("TABLE", "D9", "S", "T", "DEPARTMENT", "other"))
     found = g.cost_by_tag(log, history, attribution, tags)
     assert {r.tag_value: (float(r.credits), r.object_uses) for r in found.collect()} == {
         "finance": (7.0, 2), "ops": (2.0, 1)

@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from meterlens.plans import ingest
 from meterlens.sources import pages
@@ -61,17 +60,37 @@ def test_backup_delta_and_repeat(spark, log, tmp_path, unit):
     ]
     again = ingest.backup_delta(source, path, "t", "log", "1998-07-01", STARTED, unit=unit)
     assert again.count() == 0 and spark.read.parquet(path).count() == 4
-    assert newest_value(spark.read.parquet(path), "t") == dt.datetime(1998, 6, 28, 23, 59, 59)
+    assert newest_value(spark, path, "t") == dt.datetime(1998, 6, 28, 23, 59, 59)
 
 
 def test_empty_copy_loads_unless_strict(spark, log, tmp_path):
     source = log("1998-06-01 10:00:00")
     for strict, loaded in ((True, 0), (False, 1)):
         path = str(tmp_path / f"copy-{strict}")
-        empty = source.limit(0).withColumn("_day", F.to_date("t"))
-        empty.write.parquet(path)  # no rows, so no partition folder could carry the schema
+        assert ingest.backup_initial(source.limit(0), path, "t", "log", STARTED).count() == 0
         audit = ingest.backup_delta(source, path, "t", "log", "1998-07-01", STARTED, strict=strict)
         assert audit.count() == loaded
+    # A purge of everything leaves an empty copy, which can be purged and filled again.
+    for deleted in (1, 0):
+        purged = ingest.purge_older_than(spark, path, "t", "2002-01-01")
+        assert rows(purged.select("deleted")) == [(deleted,)]
+    audit = ingest.backup_delta(source, path, "t", "log", "1998-07-01", STARTED)
+    assert rows(audit.select("row_count")) == [(1,)]
+
+
+def test_the_audit_counts_the_copy_and_is_stored_once(spark, log, tmp_path):
+    path, store = str(tmp_path / "copy"), str(tmp_path / "audit")
+    ingest.backup_initial(log("1998-06-01 10:00:00"), path, "t", "log", STARTED)
+    log("1998-06-01 10:00:00", "1998-06-02 10:00:00").write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    audit = ingest.backup_delta(source, path, "t", "log", "1998-07-01", STARTED)
+    log("1998-06-02 11:00:00").write.mode("append").parquet(str(tmp_path / "source"))
+    for _ in range(2):
+        ingest.store_audit(audit, store)
+    later = ingest.backup_delta(source, path, "t", "log", "1998-07-02", STARTED + dt.timedelta(1))
+    ingest.store_audit(later, store)
+    stored = spark.read.parquet(store)
+    assert sorted(rows(stored.select("load_type", "row_count"))) == [("delta", 1)]
 
 
 def test_trial_backup_is_one_audit_row(log, tmp_path):

@@ -124,6 +124,13 @@ def test_daily_load_is_idempotent_and_expires(history, frame, tmp_path):
     assert loaded.where("load_date = date '1998-07-01'").count() == 4
 
 
+def test_first_day_without_slow_queries_is_an_empty_summary(history, frame, tmp_path):
+    operators = frame(OPERATORS, (1, 1, 1, "Join", statistics(1, 2)))
+    store = str(tmp_path / "store")
+    assert m.load_metric_summary(store, history, operators, "1990-01-01").count() == 0
+    assert m.load_metric_summary(store, history, operators, "1998-07-01").count() == 1
+
+
 def test_statistics_are_parsed_after_the_selection(spark):
     from meterlens.sources.usage_logs import usage_log
 

@@ -69,13 +69,14 @@ def test_utilisation_without_credits_is_null(frame, at):
 QUERIES = "warehouse_name string, start_time timestamp_ntz"
 
 
-def test_gaps_are_whole_seconds_of_the_same_day(frame, at):
+def test_gaps_are_whole_seconds_and_pass_midnight(frame, at):
     metering = frame(
         METERING,
         ("A", at("2024-01-15 01:00:00"), at("2024-01-15 02:00:00"), 0, 0),
         ("A", at("2024-01-15 01:00:00"), at("2024-01-15 02:00:00.900000"), 0, 0),
         ("A", at("2024-01-15 03:00:00"), at("2024-01-15 02:00:00"), 0, 0),
         ("A", at("2024-01-15 23:00:00"), at("2024-01-16 00:00:00"), 0, 0),
+        ("A", at("2024-01-15 22:00:00"), at("2024-01-15 23:00:00"), 0, 0),
         ("B", at("2024-01-15 01:00:00"), at("2024-01-15 02:00:00"), 0, 0),
     )
     queries = frame(
@@ -83,7 +84,9 @@ def test_gaps_are_whole_seconds_of_the_same_day(frame, at):
         ("A", at("2024-01-15 02:30:00")), ("A", at("2024-01-16 00:10:00")),
     )
     found = rows(w.idle_gaps(metering, queries), "warehouse_end_time")
-    assert [r[3:] for r in found] == [(at("2024-01-15 02:00:01.300000"), 1, 2)] * 2
+    same_day, next_day = (at("2024-01-15 02:00:01.300000"), 1, 2), at("2024-01-16 00:10:00")
+    assert [r[3:] for r in found] == [same_day, same_day, (next_day, 4200, 1), (next_day, 600, 1)]
+    assert w.idle_gaps(metering, queries, "2024-01-15").count() == 2
     assert w.idle_gaps(metering, queries, "2024-01-16").count() == 0
     assert w.idle_gaps(metering, queries, "2024-01-15", "B").count() == 0
 
