@@ -16,6 +16,8 @@ from meterlens.sources.workdir import work_folder
 
 # Rows in one numbering block: the most that one task has to hold together.
 BLOCK_ROWS = 4096
+# Fixed value: the setting by which a query's shuffle files go when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,10 +26,19 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared work folder and read it back: later steps start from
-    the files, also after executors were lost."""
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the files, also after executors were lost. Once it is written nothing reads the
+    shuffles that led to it, so their files go at once instead of with the driver's next
+    garbage collection; without such a setting Spark keeps them until then."""
+    spark, path = df.sparkSession, work_folder(df.sparkSession, name)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    if before is not None:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _give_memory_back() -> None:
