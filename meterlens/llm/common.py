@@ -30,7 +30,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     shuffles that led to it, so their files go at once instead of with the driver's next
     garbage collection; without such a setting Spark keeps them until then."""
     spark, path = df.sparkSession, work_folder(df.sparkSession, name)
-    before = spark.conf.get(FREE_SHUFFLES, None)
+    before = spark.conf.get(FREE_SHUFFLES) if spark.conf.isModifiable(FREE_SHUFFLES) else None
     if before is not None:
         spark.conf.set(FREE_SHUFFLES, "true")
     try:
