@@ -196,7 +196,8 @@ def parity(grams: np.ndarray) -> np.ndarray:
 
 
 def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, n, node, bits): set size, 64-bit hash of the set (null if empty), bitmap."""
+    """Rows (id, text_key, n, node, bits): a hash of the text, set size, 64-bit hash of the set
+    (null if empty), bitmap."""
 
     def run(batches):
         shingler = Shingler()
@@ -211,16 +212,17 @@ def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(n)),
+                        batch.column(2).slice(at, len(n)),
                         pa.array(n, pa.int64()),
                         pa.array(node, pa.int64()),
                         pa.array(bits, pa.list_(pa.int64())),
                     ],
-                    names=["id", "n", "node", "bits"],
+                    names=["id", "text_key", "n", "node", "bits"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n long, node long, bits array<long>"
-    return map_batches(docs.select(id_col, text_col), run, schema)
+    schema = f"id {kind}, text_key long, n long, node long, bits array<long>"
+    return map_batches(docs.select(id_col, text_col, F.xxhash64(text_col)), run, schema)
 
 
 def _frequent(docs: DataFrame, text_col: str, total: int) -> np.ndarray:
@@ -277,21 +279,37 @@ def _keyed(docs: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
 
 
 def _sets(docs: DataFrame, text_col: str, wanted: DataFrame, described: DataFrame, id_col: str):
-    """Rows (node, grams) of the wanted nodes, from one document of each."""
-    one = described.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias(id_col))
+    """Rows (node, grams), one for each wanted node and now and then one that isn't wanted.
+
+    Rows are fetched by id and hash of the text, one of each node. Ids may be null or stand
+    on several texts and hashes may meet, so a node is told from the fetched text itself.
+    """
+    one = (
+        described.join(wanted, "node", "left_semi").groupBy("node")
+        .agg(F.min(F.struct("text_key", "id")).alias("row"))
+        .select(F.col("row.text_key").alias("wanted_key"), F.col("row.id").alias("wanted_id"))
+    )
 
     def run(batches):
-        shingler = Shingler()
+        shingler, seen = Shingler(), set()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for at in range(0, len(texts), 500):
-                grams = [g.view(np.int64) for g in shingler.sets(texts[at : at + 500])]
+                nodes, sets = [], []
+                for grams in shingler.sets(texts[at : at + 500]):
+                    node = xxhash.xxh3_64_intdigest(grams.tobytes()) - 2**63
+                    if len(grams) and node not in seen:
+                        seen.add(node)
+                        nodes.append(node)
+                        sets.append(grams.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(grams)), pa.array(grams, pa.list_(pa.int64()))],
+                    [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
                     names=["node", "grams"],
                 )
 
-    texts = docs.select(id_col, text_col).join(one.hint("shuffle_hash"), id_col).select("node", text_col)
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    same = (F.col("text_key") == F.col("wanted_key")) & F.col("id").eqNullSafe(F.col("wanted_id"))
+    texts = keyed.join(one.hint("shuffle_hash"), same, "left_semi").select("text")
     return map_batches(texts, run, "node long, grams array<long>").dropDuplicates(["node"])
 
 

@@ -92,6 +92,29 @@ def test_ngram_components(docs, empty):
     assert rows_of(ngram_components(empty)) == []
 
 
+def test_ngram_links_by_text_not_by_id(spark):
+    one, two, three = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [
+        (None, one), (None, one + " more"), (None, two), (20, two + " more"),
+        # One id on texts of different groups, both orders of texts.
+        (30, three), (30, prose(24, 60)), (30, prose(25, 60)), (31, three + " more"), (32, prose(25, 60) + " more"),
+        (33, prose(24, 60) + " more"),
+    ]
+    found = ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    # The group of null ids is told from the others by its shingles, 56 and 57.
+    assert sorted(map(str, rows_of(found))) == sorted(map(str, [
+        (None, 56, None), (None, 57, None), (None, 56, 20), (20, 57, 20),
+        (30, 56, 30), (30, 56, 30), (30, 56, 30), (31, 57, 30), (32, 57, 30), (33, 57, 30),
+    ]))
+
+
+def test_ngram_links_of_null_ids_are_one_component(spark):
+    text = prose(26, 60)
+    rows = [(None, text), (None, text + " more"), (None, text + " more and"), (7, text + " more and more")]
+    found = ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.component_id for r in found.collect()} == {7}
+
+
 def test_repeated_strings_are_removed(docs, empty):
     size = substring_dedup.LENGTH
     seen = {}
