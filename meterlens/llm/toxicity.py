@@ -34,6 +34,21 @@ CHUNK = re.compile(r"\S+")
 FEATURES = 16
 
 
+def least_distance(left: list[int], right: list[int], default: int) -> int:
+    """The least distance of two places in sorted lists, by one merge; ``default`` if a
+    list is empty."""
+    least, i, j = default, 0, 0
+    while i < len(left) and j < len(right):
+        gap = left[i] - right[j]
+        if abs(gap) < least:
+            least = abs(gap)
+        if gap < 0:
+            i += 1
+        else:
+            j += 1
+    return least
+
+
 def features(text: str, lexicon: dict[str, float]) -> list[float]:
     """Dense features of a text: lexicon densities (plain, weighted, distinct, disguised),
     nearness to the second person, capitals, punctuation and length."""
@@ -42,7 +57,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     n, size = max(len(words), 1), max(len(text), 1)
     hits = [i for i, w in enumerate(words) if w in lexicon]
     near = [i for i, w in enumerate(words) if w in _YOU] if hits else []
-    distance = min((abs(i - j) for i in hits for j in near), default=n) if len(hits) * len(near) < 10_000 else 1
+    distance = least_distance(hits, near, n)
     disguised = 0
     if any(c in lower for c in "013457@$!|*._-"):
         for chunk in CHUNK.findall(lower):

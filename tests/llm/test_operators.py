@@ -16,7 +16,7 @@ from meterlens.llm import byte_bpe, kd_shards, packing, secrets, substring_dedup
 from meterlens.llm.exact_dedup import exact_dedup
 from meterlens.llm.fingerprints import edited_fingerprints
 from meterlens.llm.ngram_join import ngram_components
-from meterlens.llm.toxicity import toxicity_scores
+from meterlens.llm.toxicity import features, least_distance, toxicity_scores
 
 DOCS = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
@@ -169,6 +169,16 @@ def test_toxicity_without_and_with_labels(spark, docs, empty):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in scored)
 
 
+def test_toxicity_measures_the_distance_in_long_texts():
+    # 200 insults, 20,000 other words, 200 words of the second person.
+    far = features("idiot " * 200 + "word " * 20_000 + "you " * 200, {"idiot": 1.0})
+    assert far[8] == 1 / (1 + 20_001)
+    draw = random.Random(6)
+    for _ in range(300):
+        a, b = (sorted(draw.sample(range(200), draw.randint(0, 9))) for _ in "ab")
+        assert least_distance(a, b, 200) == min((abs(i - j) for i in a for j in b), default=200)
+
+
 def test_packing(docs, empty):
     model = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     expected = []
