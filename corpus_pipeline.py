@@ -13,27 +13,42 @@ from meterlens.llm.secrets import without_secrets
 from meterlens.llm.toxicity import toxicity_scores
 
 
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a key of id and text. A stage decides alike on rows that repeat
+    both, and on each other row alone. Keys sort by id, rows without one last."""
+    digest = F.unhex(F.sha2("text", 256))
+    return docs.withColumn(
+        KEY, F.struct(F.isnull("doc_id").alias("n"), F.col("doc_id").alias("id"), digest.alias("text"))
+    )
+
+
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is in ``kept``, with their own columns. Rows of one id, or
-    without one, stay or go together."""
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """The rows whose key is in ``kept``, with their own columns."""
+    kept = kept.select(F.col(f"{KEY}.id").alias("kept_id"), F.col(f"{KEY}.text").alias("kept_text")).distinct()
+    keyed = docs.withColumn("own_text", F.unhex(F.sha2("text", 256)))
+    same = keyed["doc_id"].eqNullSafe(kept["kept_id"]) & keyed["own_text"].eqNullSafe(kept["kept_text"])
+    return keyed.join(kept, same, "left_semi").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
-    scores = toxicity_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = toxicity_scores(_keyed(docs), labels, key_col=KEY)
     return _only(docs, scores.filter("predicted = 0"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts. Rows that repeat id and text are one."""
-    return _only(docs, exact_dedup(docs).filter("kept")).dropDuplicates(["doc_id", "text"])
+    return _only(docs, exact_dedup(_keyed(docs), KEY).filter("kept")).dropDuplicates(["doc_id", "text"])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-equal texts."""
-    return _only(docs, ngram_components(docs).filter("component_id <=> doc_id"))
+    """One document, that of the smallest id, of each group of near-equal texts. Rows that
+    repeat id and text, which the stage before makes one, stay or go together."""
+    return _only(docs, ngram_components(_keyed(docs), KEY).filter(F.col("component_id") == F.col(KEY)))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

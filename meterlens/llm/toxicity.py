@@ -98,7 +98,8 @@ def learned_lexicon(train: DataFrame, text_col: str) -> dict[str, float]:
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    key_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, ``held_out``, ``score`` in [0, 1], ``predicted``.
 
@@ -109,8 +110,11 @@ def toxicity_scores(
     trees on four fifths and the isotonic calibration on one. Without training rows of
     both classes every score is the share of toxic ones (0 without labels). Null texts
     count as empty; null ids are scored and not held out; repeated rows get a row each.
+    ``key_col`` names a column that is handed on as the last one.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    handed = [F.col(key_col).alias("key")] if key_col else []
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *handed)
+    handed = ["key"] if key_col else []
     rest = lambda c: F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % 3, F.lit(0))
     usable = (
         labels.select(F.col(id_col).alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -127,11 +131,12 @@ def toxicity_scores(
         for batch in batches:
             rows = [features(t or "", lexicon) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["id", "features"]
+                [batch.column(0), *batch.columns[2:], pa.array(rows, pa.list_(pa.float64()))],
+                names=["id", *handed, "features"],
             )
 
-    kind = docs.schema["id"].dataType.simpleString()
-    dense = stored(map_batches(docs, run, f"id {kind}, features array<double>"), "toxic-features")
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in ["id", *handed])
+    dense = stored(map_batches(docs, run, f"{kinds}features array<double>"), "toxic-features")
     known = dense.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select(
         "id", "toxic", array_to_vector("features").alias("features")
     )
@@ -141,7 +146,7 @@ def toxicity_scores(
     held_out = (rest("id") == 1).alias("held_out")
     if len(classes) < 2:
         score = float(max(classes, default=0))
-        scored = dense.select("id", F.lit(score).alias("score"))
+        scored = dense.select("id", *handed, F.lit(score).alias("score"))
     else:
         weighted = grown.withColumn("label", F.col("toxic").cast("double"))
         trees = GBTClassifier(
@@ -155,12 +160,13 @@ def toxicity_scores(
         isotonic = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(
             trees.transform(checked).select(margin.alias("margin"), F.col("toxic").cast("double").alias("label"))
         )
-        raw = trees.transform(dense.select("id", array_to_vector("features").alias("features")))
-        scored = isotonic.transform(raw.select("id", margin.alias("margin")))
+        raw = trees.transform(dense.select("id", *handed, array_to_vector("features").alias("features")))
+        scored = isotonic.transform(raw.select("id", *handed, margin.alias("margin")))
     score = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
     return scored.select(
         F.col("id").alias(id_col), held_out, score.alias("score"),
         (score >= THRESHOLD).cast("int").alias("predicted"),
+        *[F.col(c).alias(key_col) for c in handed],
     )
 
 

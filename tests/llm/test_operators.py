@@ -276,6 +276,30 @@ def test_token_counts(docs, empty):
     assert rows_of(token_counts.token_counts(empty)) == []
 
 
+def test_pipeline_stages_decide_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    clean = {i: prose(100 + i, 40) for i in range(200)}
+    texts = [(i, t + (" you awful idiot" if i % 3 == 0 else "")) for i, t in clean.items()]
+    labels = [(i, int(i % 3 == 0)) for i in clean]
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    build = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = lambda df: sorted(map(str, rows_of(df)))
+    base, other, bad = prose(400, 40), prose(401, 40), prose(402, 40) + " you awful idiot"
+    rows = [(None, base), (None, bad), (901, other), (901, bad)]
+    found = corpus_pipeline.drop_toxic(spark, build(texts + rows), str(tmp_path))
+    assert kept(found.filter("doc_id is null or doc_id > 900")) == kept(build([rows[0], rows[2]]))
+    # Copies that differ in blanks: the longest stays, then the smallest id, null ids last.
+    rows = [(None, base), (None, base + " "), (None, base), (5, other), (5, other + " "), (5, base), (None, other)]
+    blank = [(None, None), (None, ""), (None, None)]
+    found = corpus_pipeline.drop_copies(spark, build(rows + blank), str(tmp_path))
+    assert kept(found.filter("text <> ''")) == kept(build([rows[1], rows[4]])) and found.count() == 3
+    rows = [(None, base), (None, base + " more"), (5, other), (5, other + " more"), (5, prose(403, 40)), (None, other + " x")]
+    found = rows_of(corpus_pipeline.drop_near_copies(spark, build(rows), str(tmp_path)))
+    groups = [{rows[0], rows[1]}, {rows[2], rows[3]}, {rows[4]}]
+    assert len(found) == 3 and all(len(g & set(found)) == 1 for g in groups)
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
