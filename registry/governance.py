@@ -52,6 +52,10 @@ QUERIES = {
         governance.cost_by_tag, "access_history", "query_history", "query_attribution_history",
         "tag_references", as_of=ORDERS_AS_OF, days=179,
     ),
+    "g07_cost_by_tag_all": report(
+        governance.cost_by_tag, "access_history", "query_history", "query_attribution_history",
+        "tag_references",
+    ),
 }
 
 _INVENTORY = """
@@ -133,5 +137,24 @@ select tag_value, object_database, object_schema, object_name, warehouse_name, u
   cast(sum(share) as double) as credits, count(*) as object_uses
 from shares join tag_references
   on name = object_database || '.' || object_schema || '.' || object_name
+where tag_name = 'DEPARTMENT' and domain = 'TABLE' group by 1, 2, 3, 4, 5, 6"""),
+    "g07_cost_by_tag_all": oracle("""
+with objects as (
+  select distinct query_id, json_extract_string(object, '$.objectName') as name
+  from (select query_id, unnest(from_json(base_objects_accessed, '["json"]')) as object
+        from access_history) o),
+spread as (select query_id, count(*) as objects from objects group by 1),
+credited as (
+  select query_id, sum(credits_attributed_compute) as credits
+  from query_attribution_history group by 1),
+shares as (
+  select name, warehouse_name, user_name,
+    cast(round(cast(credits as double) / objects, 8) as decimal(28,8)) as share
+  from objects join spread using (query_id) join query_history using (query_id)
+  join credited using (query_id))
+select tag_value, object_database, object_schema, object_name, warehouse_name, user_name,
+  cast(sum(share) as double) as credits, count(*) as object_uses
+from shares join tag_references
+  on name = object_database || '.' || object_schema || '.' || object_name
 where tag_name = 'DEPARTMENT' and domain = 'TABLE' group by 1, 2, 3, 4, 5, 6"""),
 }
