@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlens.functions.dates import DAY, moment, shift_months, to_day
-from meterlens.functions.text import canonical_scalar
+from meterlens.functions.text import canonical_scalar, numbers_as_marked_text, without_marks
 from meterlens.operators.arrays import explode_once
 from meterlens.sources.dated import (
     day_of_rows,
@@ -22,23 +22,26 @@ from meterlens.sources.dated import (
 
 def flatten_attributes(
     df: DataFrame, id: str = "id", ids: str = "ids", attributes: str = "attributes",
-    max_keys: int = 1000,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """One column per key of a JSON object column and one row per element of an id array.
 
-    The keys are found by a distributed distinct; only the key names, at most
-    ``max_keys`` of them, come to the driver. Each object is parsed once per row. Values
-    are text: numbers and booleans in canonical form, anything else as it stands.
+    The keys are found by a distributed distinct; only their names come to the driver, and
+    more than ``max_keys`` of them are an error. For very many keys there is
+    ``flatten_attributes_long``. Each object is parsed once per row. Values are text:
+    numbers (with all their digits) and booleans in canonical form, anything else as it
+    stands.
     """
     found = explode_once(df, [], F.json_object_keys(attributes), "key").distinct()
-    keys = sorted(row.key for row in found.limit(max_keys + 1).collect())
-    if len(keys) > max_keys:
+    found = found if max_keys is None else found.limit(max_keys + 1)
+    keys = sorted(row.key for row in found.collect())
+    if max_keys is not None and len(keys) > max_keys:
         raise ValueError(f"more than {max_keys} distinct attribute keys")
-    values = F.from_json(attributes, "map<string,string>").alias("_values")
+    values = _attribute_values(attributes).alias("_values")
     # Numbered names until the end: keys may differ in case only.
     numbered = {f"_value{i}": key for i, key in enumerate(keys)}
     parsed = df.select(id, ids, values).select(
-        id, ids, *[canonical_scalar(F.col("_values")[k]).alias(n) for n, k in numbered.items()]
+        id, ids, *[F.col("_values")[k].alias(n) for n, k in numbered.items()]
     )
     listed = F.from_json(ids, "array<string>")
     exploded = explode_once(parsed, [id, *numbered], listed, "individual_id")
@@ -47,6 +50,26 @@ def flatten_attributes(
     )
 
 
+def flatten_attributes_long(
+    df: DataFrame, id: str = "id", ids: str = "ids", attributes: str = "attributes"
+) -> DataFrame:
+    """One row (id, individual_id, key, value) per element of the id array and key of the
+    object, for any number of keys. Values are those of ``flatten_attributes``; a key whose
+    value is null has a row, an object without keys has none."""
+    entries = F.map_entries(_attribute_values(attributes))
+    pairs = explode_once(df, [id, ids], entries, "_entry").select(
+        id, ids, F.col("_entry.key").alias("_key"), F.col("_entry.value").alias("_value")
+    )
+    listed = F.from_json(ids, "array<string>")
+    exploded = explode_once(pairs, [id, "_key", "_value"], listed, "individual_id")
+    return exploded.select(id, "individual_id", F.col("_key").alias("key"), F.col("_value").alias("value"))
+
+
+def _attribute_values(attributes: str) -> Column:
+    values = F.from_json(numbers_as_marked_text(F.col(attributes)), "map<string,string>")
+    return F.transform_values(values, lambda _, value: canonical_scalar(without_marks(value)))
+
+
 def audit_rows(
     df: DataFrame, column: str, table: str, load_type: str, start_time: dt.datetime
 ) -> DataFrame:

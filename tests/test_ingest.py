@@ -36,6 +36,31 @@ def test_attribute_keys_may_differ_in_case_only(frame):
     assert rows(flat) == [(1, "7", "0.123456789012345", "-0.5", "1")]
 
 
+def test_attribute_numbers_keep_all_digits(frame):
+    values = {
+        "0.1234567890123456789012": "0.1234567890123456789012", "-007.50": None, "-0.50": "-0.5", "0.000": "0",
+        "123456789012345678901234567890123456789012345.50": "123456789012345678901234567890123456789012345.5",
+        "1.5e3": "1500", "1e-30": "1e-30", "1E400": "1E400", "25e-1": "2.5", "-0": "0",
+        '"00.1234567890123456789012"': "0.1234567890123456789012", '" 7.0 "': "7",
+        r'"x\\\": 1, \"5\\"': r'x\": 1, "5' + "\\", '{"a": [1.50, "2.50", 1e3], "b": "\\"1\\""}': '{"a":[1.50,"2.50",1e3],"b":"\\"1\\""}',
+    }
+    df = frame("id int, ids string, attributes string",
+               *((i, "[7]", f'{{"k": {v}, "t": "1, 2]"}}') for i, v in enumerate(values)))
+    flat = ingest.flatten_attributes(df)
+    found = [r.k for r in flat.orderBy("id").collect()]
+    assert found == list(values.values())
+
+
+def test_attributes_of_many_keys(frame):
+    many = "{" + ",".join(f'"k{i:04}":{i}.50' for i in range(1200)) + "}"
+    df = frame("id int, ids string, attributes string", (1, "[7,8]", many), (2, "[9]", '{"n": null}'), (3, "[9]", "{}"))
+    assert len(ingest.flatten_attributes(df).columns) == 1203
+    long = ingest.flatten_attributes_long(df)
+    assert long.columns == ["id", "individual_id", "key", "value"]
+    expected = [(1, who, f"k{i:04}", f"{i}.5") for who in "78" for i in range(1200)] + [(2, "9", "n", None)]
+    assert rows(long, "id", "individual_id", "key") == expected
+
+
 @pytest.fixture
 def log(frame, at):
     def build(*times):
