@@ -1,6 +1,7 @@
 """The registered queries of the text operators, and SQL for those that it can express."""
 
 from meterlens.llm.byte_bpe import byte_bpe_query
+from meterlens.llm.conversations import conversations_query
 from meterlens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup_query
 from meterlens.llm.fingerprints import fingerprints_query
 from meterlens.llm.kd_shards import kd_shards_query
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_token_counts": token_counts_query,
     "op9_kd_shards": kd_shards_query,
     "op10_byte_bpe": byte_bpe_query,
+    "op12_conversations": conversations_query,
 }
 
 ORACLES = {"op2_exact_dedup": EXACT_DEDUP_SQL, "op4_ngram_join": NGRAM_JOIN_SQL}
