@@ -7,6 +7,7 @@ from meterlens.llm.fingerprints import fingerprints_query
 from meterlens.llm.kd_shards import kd_shards_query
 from meterlens.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
 from meterlens.llm.packing import packing_query
+from meterlens.llm.passages import PASSAGES_SQL, passages_query
 from meterlens.llm.secrets import secrets_query
 from meterlens.llm.substring_dedup import substring_dedup_query
 from meterlens.llm.token_counts import token_counts_query
@@ -23,7 +24,12 @@ QUERIES = {
     "op8_token_counts": token_counts_query,
     "op9_kd_shards": kd_shards_query,
     "op10_byte_bpe": byte_bpe_query,
+    "op11_passages": passages_query,
     "op12_conversations": conversations_query,
 }
 
-ORACLES = {"op2_exact_dedup": EXACT_DEDUP_SQL, "op4_ngram_join": NGRAM_JOIN_SQL}
+ORACLES = {
+    "op2_exact_dedup": EXACT_DEDUP_SQL,
+    "op4_ngram_join": NGRAM_JOIN_SQL,
+    "op11_passages": PASSAGES_SQL,
+}
