@@ -24,7 +24,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write a table to the shared work folder and read it back: later steps start from
     the files, also after executors were lost. Once it is written nothing reads the
     shuffles that led to it, so their files go at once instead of with the driver's next
@@ -34,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     if before is not None:
         spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         if before is not None:
             spark.conf.set(FREE_SHUFFLES, before)

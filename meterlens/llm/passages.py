@@ -315,8 +315,8 @@ def without_known_passages(
         F.col(id_col).alias("own_id"),
     )
     shared = stored(_anchors(source, window, gram), "shared-anchors")
-    passages = stored(_passages(source, shared, window, gram), "passages")
-    holders = _first_holders(passages, window)
+    passages = stored(_passages(source, shared, window, gram), "passages", "zstd")
+    holders = stored(_first_holders(passages, window), "first-holders")
     known = passages.select("d1", "d2", "places").join(holders, ["d1", "d2"])
     placed = known.select("holders", F.explode("places").alias("p")).select(
         "p.id", "p.mark", "p.at", "holders"
