@@ -8,6 +8,7 @@ from meterlens.llm.kd_shards import kd_shards_query
 from meterlens.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
 from meterlens.llm.packing import packing_query
 from meterlens.llm.passages import PASSAGES_SQL, passages_query
+from meterlens.llm.phrases import PHRASES_SQL, phrases_query
 from meterlens.llm.secrets import secrets_query
 from meterlens.llm.substring_dedup import substring_dedup_query
 from meterlens.llm.token_counts import token_counts_query
@@ -26,10 +27,12 @@ QUERIES = {
     "op10_byte_bpe": byte_bpe_query,
     "op11_passages": passages_query,
     "op12_conversations": conversations_query,
+    "op13_phrases": phrases_query,
 }
 
 ORACLES = {
     "op2_exact_dedup": EXACT_DEDUP_SQL,
     "op4_ngram_join": NGRAM_JOIN_SQL,
     "op11_passages": PASSAGES_SQL,
+    "op13_phrases": PHRASES_SQL,
 }
