@@ -184,6 +184,21 @@ from events
 select 'users' as endpoint, cast(floor((c_custkey) / 100) as bigint) as page_no, c_custkey as row_no,
   concat('{"id":', cast(c_custkey as string), ',"name":"', c_name, '","profile":{"segment":"', c_mktsegment, '","nation":', cast(c_nationkey as string), '}}') as record_json
 from customer
+""",
+    "service_records": """
+select '/users/v1/' as endpoint, cast(floor(c_custkey / 100) as bigint) as page_no, c_custkey as row_no,
+  case c_custkey % 50 when 7 then '5' when 8 then '"text"' when 9 then '[1]' when 10 then 'null' else
+  concat('{"id":', cast(c_custkey as string), ',"name":"', c_name, '","profile":{"segment":"', c_mktsegment, '","nation":', cast(c_nationkey as string), '}',
+    case when c_custkey % 3 = 0 then concat(',"k":', cast(c_custkey % 10 as string), ',"K":"', c_mktsegment, '"') else '' end,
+    case when c_custkey % 4 = 0 then concat(',"a.b":', cast(c_custkey as string)) else '' end,
+    case when c_custkey % 6 = 0 then concat(',"a":{"b":', cast(c_custkey + 1 as string), '}') else '' end, '}') end as record_json
+from customer
+union all
+select '/orders/v1/', cast(floor(o_orderkey / 400) as bigint), o_orderkey,
+  concat('{"order":', cast(o_orderkey as string), ',"priority":"', o_orderpriority, '","lines":[', cast(o_orderkey % 7 as string), ',2]}')
+from orders
+union all
+select '/odd/', n_nationkey, n_nationkey, cast(n_nationkey as string) from nation
 """,
 }
 

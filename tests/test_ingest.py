@@ -196,3 +196,41 @@ def test_field_names_that_look_like_types_stay(frame):
     flat = pages.flatten_pages(df, "a")
     assert set(flat.columns) == {"VARIANT_ID", "AVOIDED", "OBJECT", "in.VOID"}
     assert [(r.VARIANT_ID, r.AVOIDED) for r in flat.collect()] == [(5, "x")]
+
+
+def test_no_endpoint_is_lost_to_odd_records_and_pages(frame):
+    df = frame(
+        PAGES, ("a", 0, '[{"a":1},{"a":2},5]'), ("a", 1, '{"items":[{"a":9},{"a":9},{"a":9}]}'),
+        ("a", 2, '[{"a":3},null,"x"]'), ("b", 0, "{}"), ("c", 0, '{"results":null}'), ("d", 0, "null"),
+        ("e", 0, '[1,2]'), ("f", 0, '[{"x":1},{"y":1,"y":2},{"z":1}]'),
+    )
+    assert rows(pages.flatten_pages(df, "a", 3), "a") == [(1,), (2,), (3,)]
+    assert pages.flatten_pages(df, "e", 3) is None
+    assert sorted(rows(pages.left_out(df, 3)), key=repr) == sorted(
+        [("a", 0, 2, "no readable object", "5"), ("a", 1, None, "unreadable page", None),
+         ("a", 2, 1, "no readable object", "null"), ("a", 2, 2, "no readable object", "x"),
+         ("e", 0, 0, "no readable object", "1"), ("e", 0, 1, "no readable object", "2"),
+         ("f", 0, 1, "no readable object", '{"y":1,"y":2}')], key=repr
+    )
+
+
+def test_names_that_differ_in_case_or_clash_when_dotted(frame):
+    df = frame(PAGES, ("a", 0, """[{"k":1,"K":2,"a.b":1,"a":{"b":2,"it's \\"x?\\"":3}},{"a.b":4}]"""))
+    flat = pages.flatten_pages(df, "a")
+    assert flat.columns == ["K", "a.b", "k", 'a.it\'s "x?"']
+    assert rows(flat) == [(2, 2, 1, 3), (None, 4, None, None)]
+
+
+def test_export_of_all_endpoints(spark, frame, tmp_path):
+    df = frame(
+        PAGES, ("/v1/a/", 0, '[{"k":1,"K":2},7]'), ("/v1/a/", 1, '{"results":[{"n":{"m":"x,y"}}]}'),
+        ("/v1/a/", 2, '[{"late":1}]'), ("v1/a", 0, '[{"other":1}]'), ("/none", 0, "[]"),
+        ("/down", 0, "busy"), (None, 0, '[{"i":1}]'),
+    )
+    summary = rows(pages.export_endpoints(df, str(tmp_path), 2))
+    assert sorted(summary, key=repr) == sorted(
+        [("/v1/a/", 2, 2, 1, 0, "v1_a.csv"), ("v1/a", 1, 1, 0, 0, "v1_a-2.csv"),
+         ("/none", 1, 0, 0, 0, None), ("/down", 0, 0, 0, 1, None), (None, 1, 1, 0, 0, ".csv")], key=repr
+    )
+    text = sorted(line for f in (tmp_path / "v1_a.csv").glob("part*") for line in f.read_text().split())
+    assert text[0] == ',,"x,y"' and text[1] == "2,1," and set(text[2:]) == {"K,k,n.m"}
