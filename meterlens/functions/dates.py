@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,6 +71,26 @@ def in_months(column: str, months: list[int] | None, year: int | None) -> Column
     return condition
 
 
+def months_between(
+    months: list[int], first: dt.date | None, last: dt.date | None
+) -> Callable[..., Column]:
+    """Calendar months of every year from ``first`` to ``last`` (dates or times, inclusive).
+
+    Returns a function of a column name, and of a margin by which each range is widened.
+    Every range reaches the scan; nothing lies within when there is no first time.
+    """
+    years = range(first.year, last.year + 1) if first is not None else ()
+    starts = [dt.date(year, month, 1) for year in years for month in sorted(set(months))]
+
+    def condition(column: str, margin: dt.timedelta = dt.timedelta(0)) -> Column:
+        found = F.lit(False)
+        for start in starts:
+            found = found | within(column, start - margin, shift_months(start, 1) + margin)
+        return found
+
+    return condition
+
+
 def month_of(column: str) -> Column:
     """First day of the month, as a date (independent of the session time zone)."""
     return F.trunc(F.to_date(column), "month")

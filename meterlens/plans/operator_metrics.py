@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
-from meterlens.functions.dates import last_days, to_day
+from meterlens.functions.dates import DAY, last_days, to_day, within
 from meterlens.operators.joins import broadcast_up_to
-from meterlens.operators.ordering import with_previous
+from meterlens.operators.ordering import BLOCK
 from meterlens.sources.dated import (
+    UNITS,
     drop_partitions,
     overwrite_periods,
     partition_days,
@@ -61,10 +62,11 @@ def _slowest_by_window(
         F.desc_nulls_last("total_elapsed_time"), "query_id"
     )
     ranked = query_history.where(wanted).select(
-        "query_id", "total_elapsed_time", label.alias("window")
+        "query_id", "total_elapsed_time", label.alias("window"),
+        F.to_date("start_time").alias(UNITS["day"]),
     )
     ranked = ranked.withColumn("_rank", F.row_number().over(longest))
-    return ranked.where(F.col("_rank") <= n).select("query_id", "window")
+    return ranked.where(F.col("_rank") <= n).select("query_id", "window", UNITS["day"])
 
 
 def _slowest_ids(query_history, as_of, n: int, windows: list[str]) -> DataFrame:
@@ -92,39 +94,71 @@ def with_statistic_flags(operators: DataFrame) -> DataFrame:
     ).drop("_s")
 
 
-def with_union_flag(operators: DataFrame) -> DataFrame:
-    """Flags a union operator that directly follows an aggregate in operator order."""
-    narrow = operators.select("query_id", "step_id", "operator_id", "operator_type")
-    ordered = with_previous(
-        narrow, "query_id", ["operator_id", "step_id"], "operator_type", "_previous"
-    )
-    union = (F.col("operator_type") == fixed.UNION_OPERATOR) & (
-        F.col("_previous") == fixed.AGGREGATE_OPERATOR
-    )
-    return ordered.withColumn("union_without_all", _flag(union))
-
-
 def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _flags_per_query(operators: DataFrame, ids: DataFrame, flags: list[str]) -> DataFrame:
-    """Number of flagged operators of each selected query.
+def _selected(operators: DataFrame, ids: DataFrame, as_of, windows: list[str]) -> DataFrame:
+    """Operators of the selected queries.
 
-    The semi join selects operators before their statistics are parsed. The flags are
-    counted, not filtered on: a filter would be moved below the join and would parse the
-    statistics of the whole log.
+    A dated log (with the ``start_time`` of the queries) is read for the days of the windows
+    only. Is it kept in partitions by day, the days of the selected queries prune it
+    further while the join runs.
+    """
+    on = ["query_id"]
+    if "start_time" in operators.columns:
+        ages = [age for name in windows for age in WINDOWS[name]]
+        day = to_day(as_of)
+        operators = operators.where(
+            within("start_time", day - max(ages) * DAY, day - min(ages) * DAY + DAY)
+        )
+    if UNITS["day"] in operators.columns:
+        on.append(UNITS["day"])
+    return operators.join(ids, on, "left_semi")
+
+
+def _flags_per_query(operators: DataFrame, flags: list[str]) -> DataFrame:
+    """Number of flagged operators of each query, all flags in one pass.
+
+    The statistics are parsed for these operators only. The flags are counted, not filtered
+    on: a filter would be moved below the selection and would parse the whole log. A union
+    is flagged if it directly follows an aggregate in operator order; that order is made in
+    blocks of operator numbers, and between blocks only their first and last type
+    count. So a query with very many operators is never sorted in one task.
     """
-    marked = operators.join(ids, "query_id", "left_semi")
-    unions = flags == ["union_without_all"]
-    marked = with_union_flag(marked) if unions else with_statistic_flags(marked)
-    return marked.groupBy("query_id").agg(*[F.count_if(F.col(f)).alias(f) for f in flags])
+    own = [f for f in flags if f != "union_without_all"]
+    if own:
+        operators = with_statistic_flags(operators)
+    block = F.coalesce(F.expr(f"operator_id div {BLOCK}"), F.lit(0).cast("bigint"))
+    in_order = F.array_sort(F.collect_list(F.struct("operator_id", "step_id", "operator_type")))
+    measures = [F.count_if(F.col(f)).alias(f) for f in own]
+    if len(own) == len(flags):
+        return operators.groupBy("query_id").agg(*measures)
+    blocks = operators.groupBy("query_id", block.alias("_block")).agg(
+        *measures, in_order.alias("_ops")
+    )
+    types = F.col("_ops.operator_type")
+    follows = F.zip_with(
+        F.slice(types, 1, F.size(types) - 1), F.slice(types, 2, F.size(types) - 1),
+        lambda before, after: _flag(_needless(before, after)),
+    )
+    inside = F.size(F.filter(follows, lambda found: found))
+    across = Window.partitionBy("query_id").orderBy("_block")
+    before = F.lag(F.element_at(types, -1)).over(across)
+    at_head = _flag(_needless(before, F.element_at(types, 1))).cast("int")
+    counted = blocks.withColumn("union_without_all", inside + at_head)
+    return counted.groupBy("query_id").agg(*[F.sum(f).cast("bigint").alias(f) for f in flags])
+
+
+def _needless(before: Column, after: Column) -> Column:
+    return (after == fixed.UNION_OPERATOR) & (before == fixed.AGGREGATE_OPERATOR)
 
 
 def _counts(query_history, operators, as_of, n, flag) -> DataFrame:
     """One row, one struct: flagged operators (not queries) of each window."""
     ids = _slowest_ids(query_history, as_of, n, list(WINDOWS))
-    per_query = _flags_per_query(operators, ids, [flag]).join(ids, "query_id")
+    selected = _selected(operators, ids, as_of, list(WINDOWS))
+    per_query = _flags_per_query(selected, [flag]).join(ids, "query_id")
     per_window = [
         F.coalesce(F.sum(F.when(F.col("window") == name, F.col(flag))), F.lit(0)).alias(name)
         for name in WINDOWS
@@ -135,7 +169,7 @@ def _counts(query_history, operators, as_of, n, flag) -> DataFrame:
 def _query_ids(query_history, operators, as_of, n, flag) -> DataFrame:
     """Queries of the last seven days with a flagged operator."""
     ids = _slowest_ids(query_history, as_of, n, ["7_days"])
-    per_query = _flags_per_query(operators, ids, [flag])
+    per_query = _flags_per_query(_selected(operators, ids, as_of, ["7_days"]), [flag])
     return per_query.where(F.col(flag) > 0).select("query_id")
 
 
@@ -197,12 +231,9 @@ def operator_metric_summary(
 ) -> DataFrame:
     """Counts of all four flags per query and window; queries without statistics drop out."""
     ids = _slowest_ids(query_history, as_of, top_n, list(windows))
-    own = _flags_per_query(operators, ids, [f for f in FLAGS if f != "union_without_all"])
-    unions = _flags_per_query(operators, ids, ["union_without_all"])
-    # Everything joined here holds at most one row per slow query.
+    flagged = _flags_per_query(_selected(operators, ids, as_of, list(windows)), list(FLAGS))
     return (
-        own.join(unions, "query_id")
-        .join(ids, "query_id")
+        flagged.join(ids, "query_id")  # one row per slow query on both sides
         .select("query_id", "window", *FLAGS, F.lit(to_day(as_of)).alias("load_date"))
     )
 

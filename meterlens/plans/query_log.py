@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import ROUND_FLOOR, Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
-from meterlens.functions.dates import in_months, last_days
-from meterlens.operators.latest import latest_per_key
+from meterlens.functions.dates import DAY, in_months, last_days, months_between
+from meterlens.operators.joins import broadcast_up_to
+from meterlens.operators.latest import fetched, latest_per_key
 
 MILLIS_PER_MINUTE = 60_000
 
@@ -174,8 +176,21 @@ def costly_runs(
     price: Decimal = fixed.QUERY_CREDIT_PRICE,
     year: int | None = None,
 ) -> DataFrame:
-    """Single runs at or above a cost in a calendar month, costliest first."""
-    runs = query_history.where(in_months("start_time", [month], year))
+    """Single runs at or above a cost in a calendar month, costliest first.
+
+    Without a year the month of every year counts that the log touches: its first and last
+    time come from one narrow aggregate and make a range per year, so both logs are pruned
+    in either case. An attribution row has its query's start time; a day more is read on
+    both sides.
+    """
+    if year is None:
+        first, last = query_history.agg(F.min("start_time"), F.max("start_time")).first()
+        in_time = months_between([month], first, last)
+    else:
+        in_time = months_between([month], dt.date(year, 1, 1), dt.date(year, 12, 31))
+    runs = query_history.where(in_time("start_time"))
+    if "start_time" in attribution.columns:
+        attribution = attribution.where(in_time("start_time", DAY))
     runs = runs.where(F.col("partitions_scanned").isNotNull())
     cost = F.col("credits_attributed_compute") * F.lit(price)
     # The bare lower bound reaches the scan; the product decides.
@@ -199,27 +214,38 @@ def costly_runs(
 def failure_groups(
     query_history: DataFrame, as_of: dt.date | str, days: int = 7, limit: int = 1000
 ) -> DataFrame:
-    """Failures by error and query type with the earliest run as the example."""
+    """Failures by error and query type with the earliest run as the example.
+
+    The groups are counted without the query text; the examples of the groups that are
+    reported, ``limit`` at most, fetch theirs afterwards.
+    """
     failed = query_history.where(last_days("start_time", as_of, days))
     failed = failed.where(F.col("execution_status") != "SUCCESS")
     keys = ["error_code", "error_message", "query_type"]
-    example = F.min_by(
-        F.struct("query_text", "user_name", "role_name"), F.struct("start_time", "query_id")
-    )
-    return (
+    groups = (
         failed.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("failure_count"),
-            F.min("start_time").alias("first_occurrence"),
             F.max("start_time").alias("last_occurrence"),
-            example.alias("_example"),
+            F.min(F.struct("start_time", "query_id")).alias("_example"),
         )
         .orderBy(F.desc("failure_count"), *keys)
         .limit(limit)
+        .select(*keys, "failure_count", "last_occurrence", "_example.*")
+    )
+    on = [*keys, "start_time", "query_id"]
+    wide = failed.select(
+        *on, F.col("query_text").alias("example_query_text"), F.col("user_name").alias("example_user"),
+        F.col("role_name").alias("example_role"),
+    )
+    examples = fetched(wide, broadcast_up_to(groups, limit), on)
+    same = reduce(Column.__and__, [F.col(f"g.{c}").eqNullSafe(F.col(f"x.{c}")) for c in on])
+    return (
+        broadcast_up_to(groups, limit).alias("g").join(examples.alias("x"), same)
         .select(
-            *keys, "failure_count", "first_occurrence", "last_occurrence",
-            F.col("_example.query_text").alias("example_query_text"),
-            F.col("_example.user_name").alias("example_user"),
-            F.col("_example.role_name").alias("example_role"),
+            *[F.col(f"g.{c}") for c in keys], "failure_count",
+            F.col("g.start_time").alias("first_occurrence"), "last_occurrence",
+            "example_query_text", "example_user", "example_role",
         )
+        .orderBy(F.desc("failure_count"), *keys)
     )

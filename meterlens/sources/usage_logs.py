@@ -46,8 +46,8 @@ select l_orderkey as query_id, o_orderdate as start_time,
 from lineitem join orders on l_orderkey = o_orderkey where l_linenumber = 1
 """,
     "query_operator_stats": """
-select query_id, 1 as step_id,
-  row_number() over (partition by query_id order by l_linenumber,l_partkey,l_suppkey,l_quantity,l_extendedprice,l_shipdate,l_discount,l_tax,l_returnflag,l_linestatus) as operator_id,
+select query_id, start_time, 1 as step_id,
+  row_number() over (partition by query_id, start_time order by l_linenumber,l_partkey,l_suppkey,l_quantity,l_extendedprice,l_shipdate,l_discount,l_tax,l_returnflag,l_linestatus) as operator_id,
   case l_partkey % 4 when 0 then 'UnionAll' when 1 then 'Aggregate' when 2 then 'Join' else 'TableScan' end as operator_type,
   concat('{"input_rows":', cast(cast(floor(l_quantity) as int) - 1 as string),
     ',"output_rows":', cast(cast(l_suppkey % 50 as int) as string),
@@ -55,7 +55,7 @@ select query_id, 1 as step_id,
     ',"bytes_spilled_remote_storage":', cast(case when l_suppkey % 11 = 0 then 1 else 0 end as string),
     '},"pruning":{"partitions_scanned":', cast(cast(floor(l_quantity) as int)*1000 as string),
     ',"partitions_total":', cast(case when l_partkey % 9 = 0 then 0 else 50000 end as string), '}}') as operator_statistics
-from (select l_orderkey as query_id, l.* from lineitem l) q
+from (select l_orderkey as query_id, o_orderdate as start_time, l.* from lineitem l join orders o on l_orderkey = o_orderkey) q
 """,
     "warehouse_metering_history": """
 select concat('WH_', cast(user_id % 10 as string)) as warehouse_name,

@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import pytest
 from conftest import plan, rows
@@ -140,3 +141,43 @@ def test_statistics_are_parsed_after_the_selection(spark):
     assert text.index("from_json") < text.index("LeftSemi")
     assert text.count("from_json(") == text[: text.index("LeftSemi")].count("from_json(")
     assert "CartesianProduct" not in text and "BatchEvalPython" not in text
+
+
+def test_a_dated_log_is_read_once_and_for_the_windows_only(spark):
+    from meterlens.sources.usage_logs import usage_log
+
+    logs = [usage_log(spark, "/root/testdata/sf0.001", n)
+            for n in ("query_history", "query_operator_stats")]
+    for report in (m.operator_metric_summary, m.union_distinct_counts, m.spill_counts):
+        text = plan(report(*logs, "1998-07-01"))
+        assert sum("lineitem" in line for line in text.splitlines() if "FileScan" in line) == 1
+        scans = [line for line in text.splitlines() if "FileScan" in line and "o_orderdate" in line]
+        pushed = r"\(o_orderdate#\d+ >= 1998-06-17 00:00:00\), \(o_orderdate#\d+ < "
+        assert sum(re.search(pushed, line) is not None for line in scans) == 1
+
+
+def test_days_of_the_slow_queries_prune_a_log_kept_by_day(spark, history, frame, at, tmp_path):
+    from meterlens.sources.dated import read_dated, write_dated
+
+    operators = frame(OPERATORS, *((q, 1, 1, "Join", statistics(1, 2)) for q in range(1, 8)))
+    dated = operators.join(history.select("query_id", "start_time"), "query_id")
+    write_dated(dated, str(tmp_path / "log"), "start_time", "errorifexists")
+    log = read_dated(spark, str(tmp_path / "log"))
+    summary = m.operator_metric_summary(history, log, "1998-07-01")
+    assert "dynamicpruning" in plan(summary)
+    assert rows(summary.select("query_id", "window"), "query_id") == rows(
+        m.operator_metric_summary(history, operators, "1998-07-01").select("query_id", "window"),
+        "query_id",
+    )
+
+
+def test_unions_are_found_over_block_bounds(history, frame, monkeypatch):
+    random.seed(5)
+    kinds = [random.choice(["Aggregate", "UnionAll", "Join", None]) for _ in range(40)]
+    steps = [(1, 1 + i % 2, i, kind, "{}") for i, kind in enumerate(kinds)]
+    operators = frame(OPERATORS, *random.sample(steps, 40), (1, 1, None, "Aggregate", "{}"))
+    expected = sum(a == "Aggregate" and b == "UnionAll" for a, b in zip(["Aggregate", *kinds], kinds))
+    for block in (1, 3, 7, 1000):
+        monkeypatch.setattr(m, "BLOCK", block)
+        counts = m.union_distinct_counts(history, operators, "1998-07-01").select("counts.*").first()
+        assert counts["7_days"] == expected

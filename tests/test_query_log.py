@@ -109,3 +109,59 @@ def test_date_filter_reaches_the_scan(spark):
     text = plan(q.failure_groups(history, "1998-07-01"))
     assert "GreaterThanOrEqual(o_orderdate" in text.replace("PushedFilters", "")
     assert "CartesianProduct" not in text and "Python" not in text
+
+
+def nodes_before_any_exchange(text):
+    """Plan nodes without an exchange below them: they work on all rows of the log."""
+    lines = text.splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-*(0123456789)")) for line in lines]
+    for at, (line, depth) in enumerate(zip(lines, depths)):
+        below = at + 1
+        while below < len(lines) and depths[below] > depth:
+            below += 1
+        if not any("Exchange" in inner for inner in lines[at:below]):
+            yield line
+
+
+def test_latest_rows_are_fetched_without_sorting_text(spark, frame):
+    import registry
+
+    for name in ("q05_costliest_shapes", "q07_failure_groups", "q08_latest_per_key"):
+        text = plan(registry.all_queries()[name](spark, "/root/testdata/sf0.001"))
+        early = [line for line in nodes_before_any_exchange(text) if "Sort" in line]
+        assert early and not any("query_text" in line for line in early)
+    df = frame("k int, t int, v string", (1, 3, "b"), (1, None, "c"), (None, None, "d"), (None, None, "d"))
+    assert rows(latest_per_key(df, ["k"], ["t"]), "v") == [(1, 3, "b"), (None, None, "d")]
+
+
+def test_failure_examples_of_groups_with_null_keys(history, at):
+    failed = {"execution_status": "FAIL", "error_code": None, "error_message": None}
+    df = history(
+        {**failed, "query_id": 1, "query_text": "x"}, {**failed, "query_id": 1, "query_text": "x"},
+        {**failed, "query_id": 2, "query_type": None, "query_text": "y"},
+    )
+    found = q.failure_groups(df, "1998-07-01").select("failure_count", "example_query_text")
+    assert rows(found, "failure_count") == [(1, "y"), (2, "x")]
+    assert rows(q.failure_groups(df, "1998-07-01", limit=1).select("failure_count")) == [(2,)]
+
+
+def test_costly_runs_of_a_month_in_every_year(frame, history, at):
+    df = history(
+        {"query_id": 1, "start_time": at("1996-05-31 23:59:59")}, {"query_id": 2, "start_time": at("1997-06-01 00:00:00")},
+        {"query_id": 3, "start_time": at("1998-05-01 00:00:00")}, {"query_id": 4, "start_time": at("1999-01-01 00:00:00")},
+    )
+    attribution = frame(ATTRIBUTION, *((i, at("1998-05-01 00:00:00"), 900) for i in (1, 2, 3, 4)))
+    attribution = attribution.drop("start_time").join(df.select("query_id", "start_time"), "query_id")
+    assert sorted(r.query_id for r in q.costly_runs(df, attribution, 5).collect()) == [1, 3]
+    assert [r.query_id for r in q.costly_runs(df, attribution, 5, year=1998).collect()] == [3]
+    assert rows(q.costly_runs(df.limit(0), attribution, 5)) == []
+
+
+def test_costly_runs_push_a_range_to_both_logs(spark):
+    import registry
+
+    text = plan(registry.all_queries()["q06_costly_runs"](spark, "/root/testdata/sf0.001"))
+    scans = [line for line in text.splitlines() if "FileScan" in line and "o_orderdate" in line]
+    assert len(scans) == 2
+    assert "o_orderdate" in scans[0] and ">= 1995-05-01 00:00:00) AND" in scans[0]
+    assert ">= 1995-04-30 00:00:00) AND" in scans[1]  # a day more of the attribution
