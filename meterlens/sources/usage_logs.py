@@ -220,11 +220,15 @@ def usage_log(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return table.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
-def usage_log_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def usage_log_stream(
+    spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None
+) -> DataFrame:
     """A derived table as a stream over the files of its single base table."""
     (table,) = inputs_of(name)
-    schema = base_table(spark, folder, table).schema
     # A pattern, so that the table may be one file or a folder of files.
-    files = spark.readStream.schema(schema).parquet(f"{folder}/{table}.parquet*")
+    reader = spark.readStream.schema(base_table(spark, folder, table).schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.parquet(f"{folder}/{table}.parquet*")
     derived = DERIVATIONS[name].replace(f"from {table}", f"from {{{table}}}")
     return spark.sql(derived, **{table: files})

@@ -7,7 +7,7 @@ from meterlens.plans import ingest
 from meterlens.sources import pages
 from meterlens.sources.usage_logs import base_table, usage_log_stream
 from meterlens.sources.workdir import work_folder
-from meterlens.streaming.backup import stream_backup
+from meterlens.streaming.backup import copy_differences, stream_backup
 from registry.base import ORDERS_AS_OF, oracle, plain_types, query, report
 
 STARTED = dt.datetime(1998, 7, 1, 6, 0, 0)
@@ -132,6 +132,40 @@ def _joined(spark, folder):
     return plain_types(ingest.join_and_save(names, values, work_folder(spark, "joined")))
 
 
+def arrived(spark, folder, table, conditions):
+    """A folder with the base table as several files that arrive in the order given."""
+    path = work_folder(spark, f"arriving-{table}")
+    for condition in conditions:
+        part = base_table(spark, folder, table).where(condition)
+        part.coalesce(1).write.mode("append").parquet(f"{path}/{table}.parquet")
+    return path
+
+
+_IN_ORDER = [
+    f"year(o_orderdate) between {first} and {last}"
+    for first, last in ((1, 1995), (1996, 1997), (1998, 1999), (2000, 9999))
+]
+
+
+def _backup_in_batches(spark, folder, conditions):
+    files = arrived(spark, folder, "orders", conditions)
+    stream = usage_log_stream(spark, files, "query_history", files_per_batch=1)
+    return stream_backup(stream, work_folder(spark, "stream-backup"), "start_time", unit=UNIT)
+
+
+def _stream_in_batches(spark, folder):
+    run = _backup_in_batches(spark, folder, _IN_ORDER)
+    return plain_types(spark.read.parquet(run.counts))
+
+
+def _stream_late(spark, folder):
+    """The older half arrives last: its days are final by then."""
+    run = _backup_in_batches(spark, folder, ["year(o_orderdate) >= 1996", "year(o_orderdate) < 1996"])
+    days = spark.read.parquet(run.days_now)
+    assert copy_differences(spark, run, "start_time").isEmpty()
+    return plain_types(days.select("run_date", "row_count", "late_rows"))
+
+
 def _stream(spark, folder):
     run = stream_backup(
         usage_log_stream(spark, folder, "query_history"), work_folder(spark, "stream-backup"),
@@ -157,6 +191,8 @@ QUERIES = {
     ),
     "i07_store_audit": query(_stored_audit),
     "i08_stream_backup": _stream,
+    "i08_stream_backup_batches": _stream_in_batches,
+    "i08_stream_late_rows": _stream_late,
 }
 
 
@@ -235,6 +271,16 @@ from query_history, (values ('trial', '19980701060000', date '1900-01-01'),
   ('initial', '19980701060000', date '1900-01-01'), ('initial', '19980702060000', date '1998-06-01'))
   loads(load_type, load_id, since)
 where start_time >= since group by all"""),
+    "i08_stream_backup_batches": oracle("""
+select cast(start_time as date) as run_date, count(*) as row_count from query_history
+group by 1
+having cast(start_time as date) + interval 1 day
+  <= (select max(start_time) from query_history) - interval 3 day"""),
+    "i08_stream_late_rows": oracle("""
+select cast(start_time as date) as run_date,
+  count(*) filter (where year(start_time) >= 1996) as row_count,
+  count(*) filter (where year(start_time) < 1996) as late_rows
+from query_history group by 1"""),
     "i08_stream_backup": oracle("""
 select cast(start_time as date) as run_date, count(*) as row_count from query_history
 group by 1

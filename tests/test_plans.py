@@ -10,7 +10,7 @@ import registry
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = registry.all_queries()
 # These write or stream before they return a table that is simply read.
-EAGER = ("m10_", "i02_", "i03_", "i04_", "i05_", "i06_", "i08_", "a03_")
+EAGER = ("m10_", "i02_", "i03_", "i04_", "i05_", "i06_", "i07_store", "i08_", "a03_")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(EAGER)))
