@@ -156,6 +156,46 @@ def bill_storage(
     )
 
 
+def _bill_metered(
+    metering_history: DataFrame, tables: DataFrame, as_of: dt.date | str, months: int,
+    price: Decimal, account: str | None,
+) -> DataFrame:
+    """``bill_services``, ``bill_search_opt`` and ``bill_clustering`` in one pass.
+
+    Usage is summed per name or table first; the sums of tables then take the name of
+    their catalog, and those of unknown tables drop out.
+    """
+    usage = metering_history.where(within("start_time", *full_months(as_of, months)))
+    kind = F.col("service_type")
+    usage = usage.where(kind.isNotNull() & (kind != fixed.MATERIALIZED_VIEW))
+    metered, searched = kind == fixed.WAREHOUSE_METERING, kind == fixed.SEARCH_OPTIMIZATION
+    of_table = searched | (kind == fixed.AUTO_CLUSTERING)
+    credits = F.when(metered, F.col("credits_used_cloud_services")).otherwise(
+        F.col("credits_used_compute")
+    )
+    searched_table = F.substring("name", *fixed.SEARCH_NAME_TABLE_ID).try_cast("bigint")
+    table_id = F.when(searched, searched_table).when(of_table, F.col("entity_id"))
+    sums = usage.groupBy(
+        _account(account), F.when(~of_table, F.col("name")).alias("_name"),
+        table_id.alias("table_id"), of_table.alias("_of_table"),
+        F.when(metered, fixed.CLOUD_SERVICES_LABEL).otherwise(kind).alias("service_type"),
+        month_of("start_time").alias("usage_month"),
+    ).agg(F.sum(credits).alias("total_credits"))
+    catalogs = tables.select(
+        "table_id", "table_catalog", F.lit(True).alias("_known")
+    ).distinct()
+    named = sums.join(catalogs, "table_id", "left").where(~F.col("_of_table") | F.col("_known"))
+    name = F.when(F.col("_of_table"), F.col("table_catalog")).otherwise(F.col("_name"))
+    nothing = F.lit(Decimal(0))
+    return _positive(
+        named.groupBy("account_name", name.alias("wh_db_name"), "service_type", "usage_month")
+        .agg(
+            F.sum("total_credits").alias("total_credits"),
+            (F.lit(price) * F.sum(F.coalesce("total_credits", nothing))).alias("billable_usage"),
+        )
+    )
+
+
 def full_bill(
     metering: DataFrame, metering_history: DataFrame, tables: DataFrame,
     refresh_history: DataFrame, storage: DataFrame, as_of: dt.date | str, months: int = 1,
@@ -166,9 +206,7 @@ def full_bill(
     credits = {"as_of": as_of, "months": months, "price": compute_price, "account": account}
     branches = [
         bill_compute(metering, **credits),
-        bill_services(metering_history, **credits),
-        bill_search_opt(metering_history, tables, **credits),
-        bill_clustering(metering_history, tables, **credits),
+        _bill_metered(metering_history, tables, **credits),
         bill_mv(refresh_history, **credits),
         bill_storage(storage, as_of, months, storage_price, account),
     ]
@@ -256,6 +294,42 @@ def tiered_cost(credits: DataFrame, tiers=fixed.CREDIT_PRICE_TIERS) -> DataFrame
     )
 
 
+def rated_cost(credits: DataFrame, rates: DataFrame) -> DataFrame:
+    """Monthly credits priced from a rate table: the general form of ``tiered_cost``.
+
+    ``rates`` has account_name, valid_from, valid_to (exclusive, null for open) and price. A
+    month takes the rate valid on its first day. ``status`` says ``priced``, ``gap`` (no
+    rate) or ``overlap`` (several, named by ``rates``); only ``priced`` rows have a price and
+    a bill, so nothing is counted twice and nothing is lost. Months of accounts are looked
+    up, not rows of the log.
+    """
+    keys = ["account_name", "usage_month"]
+    usage = credits.groupBy(
+        "account_name", "service_type", "warehouse_name",
+        month_of("start_time").alias("usage_month"),
+    ).agg(F.round(F.sum("credits_used_compute"), 3).alias("total_credits"))
+    months, valid = usage.select(*keys).distinct().alias("m"), rates.alias("r")
+    in_force = (
+        F.col("m.account_name").eqNullSafe(F.col("r.account_name"))
+        & (F.col("r.valid_from") <= F.col("m.usage_month"))
+        & (F.col("r.valid_to").isNull() | (F.col("m.usage_month") < F.col("r.valid_to")))
+    )
+    found = (
+        months.join(valid, in_force, "left")
+        .groupBy(*[F.col(f"m.{c}") for c in keys])
+        .agg(F.count("r.valid_from").alias("rates"), F.max("r.price").alias("_price"))
+    )
+    status = F.when(F.col("rates") == 0, "gap").when(F.col("rates") == 1, "priced")
+    same = F.col("u.account_name").eqNullSafe(F.col("f.account_name")) & (
+        F.col("u.usage_month").eqNullSafe(F.col("f.usage_month"))
+    )
+    price = F.when(F.col("rates") == 1, F.col("_price"))
+    return usage.alias("u").join(found.alias("f"), same).select(
+        "u.*", status.otherwise("overlap").alias("status"), "rates", price.alias("price"),
+        (F.col("total_credits") * price).alias("billable_usage"),
+    )
+
+
 def labelled_cost(cost: DataFrame) -> DataFrame:
     return with_month_label(cost, "usage_month").select(
         "account_name", "warehouse_name", "month", "billable_usage"

@@ -180,19 +180,12 @@ def mask_by_tag(
     )
 
 
-def cost_by_tag(
+def _cost_per_object(
     access: DataFrame, query_history: DataFrame, attribution: DataFrame,
-    tag_references: DataFrame, tag: str = "DEPARTMENT", as_of: dt.date | str | None = None,
-    days: int = 30,
+    as_of: dt.date | str | None, days: int,
 ) -> DataFrame:
-    """Credits and uses per tag value, object, warehouse and user.
-
-    Tags belong to an object by database, schema and name. With ``as_of`` only the last
-    ``days`` of all three logs count. A query's credits are split evenly over the distinct
-    tables it reads (objects with a three-part name). The shares are summed per table,
-    warehouse and user before the tags are joined, so a table that much of the log reads
-    meets the tag list as a few rows.
-    """
+    """Credits and uses per table, warehouse and user: each query's credits split evenly over
+    the distinct tables it reads."""
     if as_of is not None:
         access = access.where(last_days("query_start_time", as_of, days))
         query_history = query_history.where(last_days("start_time", as_of, days))
@@ -216,6 +209,24 @@ def cost_by_tag(
         .groupBy(*[F.col(c).alias(name) for c, name in zip(TABLE_KEY, OBJECT_KEY)], *keys)
         .agg(F.sum("_share").alias("_share"), F.count(F.lit(1)).alias("_uses"))
     )
+    return per_object
+
+
+def cost_by_tag(
+    access: DataFrame, query_history: DataFrame, attribution: DataFrame,
+    tag_references: DataFrame, tag: str = "DEPARTMENT", as_of: dt.date | str | None = None,
+    days: int = 30,
+) -> DataFrame:
+    """Credits and uses per tag value, object, warehouse and user.
+
+    Tags belong to an object by database, schema and name. With ``as_of`` only the last
+    ``days`` of all three logs count. A query's credits are split evenly over the distinct
+    tables it reads (objects with a three-part name). The shares are summed per table,
+    warehouse and user before the tags are joined, so a table that much of the log reads
+    meets the tag list as a few rows.
+    """
+    per_object = _cost_per_object(access, query_history, attribution, as_of, days)
+    keys = ["warehouse_name", "user_name"]
     tags = tag_references.where(
         (F.col("tag_name") == tag) & (F.col("domain") == "TABLE")
     ).select(*OBJECT_KEY, "tag_value")
@@ -224,3 +235,51 @@ def cost_by_tag(
         .groupBy("tag_value", *OBJECT_KEY, *keys)
         .agg(F.sum("_share").alias("credits"), F.sum("_uses").alias("object_uses"))
     )
+
+
+def cost_by_inherited_tag(
+    access: DataFrame, query_history: DataFrame, attribution: DataFrame,
+    tag_references: DataFrame, tag: str = "DEPARTMENT", as_of: dt.date | str | None = None,
+    days: int = 30,
+) -> DataFrame:
+    """Credits and uses per tag value, with tags that containers pass on.
+
+    A table takes the value of its nearest tagged container: itself, its schema, its
+    database, the account (``tag_level``; null for none, so costs add up to those of all
+    tables). Warehouses carry the tag apart, as ``warehouse_tag``. Of several values of one
+    object the least counts. Costs are summed per table, warehouse and user before one left
+    join per level, none of them a forced broadcast.
+    """
+    per_object = _cost_per_object(access, query_history, attribution, as_of, days)
+    tags = tag_references.where(F.col("tag_name") == tag)
+
+    def values(domain: str, columns: dict[str, str], name: str) -> DataFrame:
+        of_domain = tags.where(F.col("domain") == domain)
+        return of_domain.groupBy(*[F.col(c).alias(as_) for c, as_ in columns.items()]).agg(
+            F.min("tag_value").alias(name)
+        )
+
+    database, schema = "object_database", "object_schema"
+    levels = [
+        ("TABLE", {c: c for c in OBJECT_KEY}),
+        ("SCHEMA", {database: database, "object_name": schema}),
+        ("DATABASE", {"object_name": database}),
+    ]
+    found = per_object
+    for domain, columns in levels:
+        found = found.join(values(domain, columns, f"_{domain}"), list(columns.values()), "left")
+    found = found.join(
+        values("WAREHOUSE", {"object_name": "warehouse_name"}, "warehouse_tag"),
+        "warehouse_name", "left",
+    )
+    account = tags.where(F.col("domain") == "ACCOUNT").agg(F.min("tag_value")).scalar()
+    found = found.withColumn("_ACCOUNT", account)
+    names = [domain for domain, _ in levels] + ["ACCOUNT"]
+    level = F.coalesce(*[F.when(F.col(f"_{n}").isNotNull(), F.lit(n.lower())) for n in names])
+    return (
+        found.groupBy(
+            F.coalesce(*[F.col(f"_{n}") for n in names]).alias("tag_value"),
+            level.alias("tag_level"), "warehouse_tag", "user_name",
+        )
+        .agg(F.sum("_share").alias("credits"), F.sum("_uses").alias("object_uses"))
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
@@ -249,3 +249,59 @@ def idle_gaps(
             F.col("_later").alias("later_queries"),
         )
     )
+
+
+def queries_inside(
+    metering: DataFrame, queries: DataFrame, day: dt.date | str | None = None,
+    warehouse: str | None = None, bin_seconds: int = 3600,
+) -> DataFrame:
+    """Each metering interval with the number, first and last start of the queries inside it
+    (both ends included); intervals without queries have 0.
+
+    An interval join by time bins: intervals are cut at the bounds of the bins. A bin that
+    lies inside an interval as a whole is joined as one row of counts, made in the map tasks.
+    Only the cut bins at both ends, two per interval, meet single query starts, and there
+    the exact bounds decide. ``day`` and ``warehouse`` restrict both logs.
+    """
+    if day is not None:
+        one_day = within("start_time", to_day(day), to_day(day) + DAY)
+        metering, queries = metering.where(one_day), queries.where(one_day)
+    if warehouse is not None:
+        one_warehouse = F.col("warehouse_name") == warehouse
+        metering, queries = metering.where(one_warehouse), queries.where(one_warehouse)
+
+    def bin_of(column: str) -> Column:
+        return F.floor(second_number(column) / bin_seconds)
+
+    key = ["warehouse_name", "_bin"]
+    interval = ["warehouse_name", "start_time", "end_time"]
+    intervals = metering.where(F.col("start_time") <= F.col("end_time")).select(*interval).distinct()
+    starts = queries.select(
+        "warehouse_name", bin_of("start_time").alias("_bin"), F.col("start_time").alias("_start")
+    ).groupBy(*key, "_start").agg(F.count(F.lit(1)).alias("_n"))
+    whole_bins = starts.groupBy(*key).agg(
+        F.sum("_n").alias("_n"), F.min("_start").alias("_first"), F.max("_start").alias("_last")
+    )
+    cut = intervals.withColumns({"_from": bin_of("start_time"), "_to": bin_of("end_time")})
+    # The first and the last bin are cut, even if a bound of the interval is their own.
+    inner = cut.where(F.col("_to") - F.col("_from") > 1).select(
+        *interval, F.explode(F.sequence(F.col("_from") + 1, F.col("_to") - 1)).alias("_bin")
+    )
+    outer = cut.select(
+        *interval, F.explode(F.array_distinct(F.array("_from", "_to"))).alias("_bin")
+    )
+    by_bin = inner.join(whole_bins, key).select(*interval, "_n", "_first", "_last")
+    exact = F.col("_start").between(F.col("start_time"), F.col("end_time"))
+    by_start = outer.join(starts, key).where(exact).select(
+        *interval, "_n", F.col("_start").alias("_first"), F.col("_start").alias("_last")
+    )
+    found = by_bin.unionByName(by_start).groupBy(*interval).agg(
+        F.sum("_n").alias("queries"), F.min("_first").alias("first_query_start_time"),
+        F.max("_last").alias("last_query_start_time"),
+    )
+    return intervals.join(found, interval, "left").select(
+        "warehouse_name", F.col("start_time").alias("warehouse_start_time"),
+        F.col("end_time").alias("warehouse_end_time"),
+        F.coalesce("queries", F.lit(0).cast("bigint")).alias("queries"),
+        "first_query_start_time", "last_query_start_time",
+    )

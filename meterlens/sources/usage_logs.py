@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BASE_TABLES = {"nation", "customer", "supplier", "part", "orders", "lineitem", "events"}
+BASE_TABLES = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"}
 
 DERIVATIONS = {
     "query_history": """
@@ -184,6 +184,41 @@ from events
 select 'users' as endpoint, cast(floor((c_custkey) / 100) as bigint) as page_no, c_custkey as row_no,
   concat('{"id":', cast(c_custkey as string), ',"name":"', c_name, '","profile":{"segment":"', c_mktsegment, '","nation":', cast(c_nationkey as string), '}}') as record_json
 from customer
+""",
+    "container_tag_references": """
+select domain, object_database, object_schema, object_name, tag_database, tag_schema, tag_name, tag_value
+from (select 'TABLE' as domain, concat('DB', cast(p_partkey % 4 as string)) as object_database, concat('S', cast(p_partkey % 3 as string)) as object_schema,
+  concat('T', cast(p_partkey as string)) as object_name, 'GOV' as tag_database, 'PUBLIC' as tag_schema,
+  'DEPARTMENT' as tag_name, case p_size % 3 when 0 then 'finance' when 1 then 'transfers' else 'ops' end as tag_value
+from part
+union all
+select 'TABLE', 'DB9', concat('S', cast(p_partkey % 3 as string)), concat('T', cast(p_partkey as string)), 'GOV', 'PUBLIC', 'DEPARTMENT', 'archive'
+from part where p_size % 7 = 0
+) tag_source where tag_value = 'finance'
+union all
+select 'SCHEMA', 'DB1', cast(null as string), concat('S', cast(r_regionkey as string)), 'GOV', 'PUBLIC', 'DEPARTMENT', concat('schema-', lower(r_name))
+from region where r_regionkey < 2
+union all
+select 'DATABASE', cast(null as string), cast(null as string), concat('DB', cast(r_regionkey as string)), 'GOV', 'PUBLIC', 'DEPARTMENT', concat('database-', lower(r_name))
+from region where r_regionkey in (1, 2)
+union all
+select 'WAREHOUSE', cast(null as string), cast(null as string), concat('WH_', cast(r_regionkey as string)), 'GOV', 'PUBLIC', 'DEPARTMENT', lower(r_name)
+from region
+union all
+select 'ACCOUNT', cast(null as string), cast(null as string), 'ACC_0', 'GOV', 'PUBLIC', 'DEPARTMENT', lower(r_name)
+from region where r_regionkey = 4
+""",
+    "credit_rates": """
+select concat('ACC_', cast(r_regionkey as string)) as account_name, date '1990-01-01' as valid_from,
+  case r_regionkey when 1 then date '1996-07-01' when 2 then date '1997-04-02' else date '1997-01-01' end as valid_to,
+  cast(2.32 as decimal(6,2)) as price
+from region where r_regionkey < 3
+union all
+select concat('ACC_', cast(r_regionkey as string)), date '1997-01-01', date '1999-01-01', cast(2.56 as decimal(6,2))
+from region where r_regionkey < 3
+union all
+select concat('ACC_', cast(r_regionkey as string)), date '1999-01-01', cast(null as date), cast(3 + r_regionkey as decimal(6,2))
+from region where r_regionkey < 3
 """,
     "service_records": """
 select '/users/v1/' as endpoint, cast(floor(c_custkey / 100) as bigint) as page_no, c_custkey as row_no,

@@ -82,6 +82,11 @@ QUERIES = {
     ),
     "b15_clean_credits": report(billing.clean_credits, "warehouse_credits"),
     "b16_tiered_cost": query(_cost),
+    "b16_rated_cost": query(
+        lambda log: billing.rated_cost(
+            billing.clean_credits(log("warehouse_credits")), log("credit_rates")
+        )
+    ),
     "b17_labelled_cost": query(lambda log: billing.labelled_cost(_cost(log))),
     "b18_with_owner": query(
         lambda log: billing.with_owner(billing.labelled_cost(_cost(log)), log("wh_owner_xref"))
@@ -91,6 +96,11 @@ QUERIES = {
         lambda log: billing.fill_months(_wide(log), COLUMNS_12, {"ACC_1": "ACC_ONE"})
     ),
     "b21_wide_with_owner": query(_wide_with_owner),
+    "b22_owner_month_report": query(
+        lambda log: billing.owner_month_report(
+            log("warehouse_credits"), log("wh_owner_xref"), LAST_12, TIERS
+        )
+    ),
     "b22_drop_all_zero": query(lambda log: drop_all_zero(_wide_with_owner(log), COLUMNS_12)),
     "b23_data_bounds": report(
         billing.data_bounds, "usage_in_currency_daily", column="usage_date"
@@ -250,6 +260,20 @@ with {_COST}
 select account_name, service_type, warehouse_name, usage_month,
   cast(total_credits as double) as total_credits,
   cast(billable_usage as double) as billable_usage from cost"""),
+    "b16_rated_cost": oracle(f"""
+with {_COST},
+priced as (
+  select c.account_name, c.service_type, c.warehouse_name, c.usage_month, c.total_credits,
+    count(r.valid_from) as rates, max(r.price) as price
+  from cost c left join credit_rates r on r.account_name = c.account_name
+    and r.valid_from <= c.usage_month and (r.valid_to is null or c.usage_month < r.valid_to)
+  group by all)
+select account_name, service_type, warehouse_name, usage_month,
+  cast(total_credits as double) as total_credits,
+  case rates when 0 then 'gap' when 1 then 'priced' else 'overlap' end as status, rates,
+  cast(case when rates = 1 then price end as double) as price,
+  cast(case when rates = 1 then total_credits * price end as double) as billable_usage
+from priced"""),
     "b17_labelled_cost": oracle(f"""
 with {_COST}
 select account_name, warehouse_name, month, cast(billable_usage as double) as billable_usage
@@ -268,6 +292,9 @@ select case when account_name = 'ACC_1' then 'ACC_ONE' else account_name end as
     "b21_wide_with_owner": oracle(f"with {_WIDE_OWNER} select * from owned"),
     "b22_drop_all_zero": oracle(f"""
 with {_WIDE_OWNER}
+select * from owned where not ({' and '.join(f'{c} = 0' for c in COLUMNS_12)})"""),
+    "b22_owner_month_report": oracle(f"""
+with {_WIDE_OWNER}
 select * from owned where not ({' and '.join(f'{c} = 0' for c in COLUMNS_12)})"""),
     "b23_data_bounds": oracle("""
 select min(usage_date) as min_value, max(usage_date) as max_value, count(*) as row_count

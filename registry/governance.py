@@ -56,6 +56,10 @@ QUERIES = {
         governance.cost_by_tag, "access_history", "query_history", "query_attribution_history",
         "tag_references",
     ),
+    "g07_cost_by_inherited_tag": report(
+        governance.cost_by_inherited_tag, "access_history", "query_history",
+        "query_attribution_history", "container_tag_references",
+    ),
 }
 
 _INVENTORY = """
@@ -157,4 +161,35 @@ select tag_value, object_database, object_schema, object_name, warehouse_name, u
 from shares join tag_references
   on name = object_database || '.' || object_schema || '.' || object_name
 where tag_name = 'DEPARTMENT' and domain = 'TABLE' group by 1, 2, 3, 4, 5, 6"""),
+    "g07_cost_by_inherited_tag": oracle("""
+with objects as (
+  select distinct query_id, json_extract_string(object, '$.objectName') as name
+  from (select query_id, unnest(from_json(base_objects_accessed, '["json"]')) as object
+        from access_history) o),
+spread as (select query_id, count(*) as objects from objects group by 1),
+credited as (
+  select query_id, sum(credits_attributed_compute) as credits
+  from query_attribution_history group by 1),
+shares as (
+  select split_part(name, '.', 1) as d, split_part(name, '.', 2) as s, split_part(name, '.', 3) as t,
+    warehouse_name, user_name, cast(round(cast(credits as double) / objects, 8) as decimal(28,8)) as share
+  from objects join spread using (query_id) join query_history using (query_id)
+  join credited using (query_id)),
+tags as (select * from container_tag_references where tag_name = 'DEPARTMENT'),
+resolved as (
+  select user_name, share,
+    (select min(tag_value) from tags where domain = 'TABLE' and object_database = d
+      and object_schema = s and object_name = t) as by_table,
+    (select min(tag_value) from tags where domain = 'SCHEMA' and object_database = d
+      and object_name = s) as by_schema,
+    (select min(tag_value) from tags where domain = 'DATABASE' and object_name = d) as by_database,
+    (select min(tag_value) from tags where domain = 'ACCOUNT') as by_account,
+    (select min(tag_value) from tags where domain = 'WAREHOUSE' and object_name = warehouse_name)
+      as warehouse_tag
+  from shares)
+select coalesce(by_table, by_schema, by_database, by_account) as tag_value,
+  case when by_table is not null then 'table' when by_schema is not null then 'schema'
+    when by_database is not null then 'database' when by_account is not null then 'account' end as tag_level,
+  warehouse_tag, user_name, cast(sum(share) as double) as credits, count(*) as object_uses
+from resolved group by all"""),
 }

@@ -26,6 +26,9 @@ QUERIES = {
     "w06_sized_utilisation_daily": report(
         warehouse.sized_utilisation, *_METERED, "warehouses", as_of=EVENTS_AS_OF, daily=True
     ),
+    "w07_queries_inside": report(
+        warehouse.queries_inside, "warehouse_metering_history", "query_activity"
+    ),
     "w07_idle_gaps": report(
         warehouse.idle_gaps, "warehouse_metering_history", "query_activity"
     ),
@@ -159,6 +162,15 @@ with usage as (
 {_SHARE.format('cast(credits as double) * 3600')}"""),
     "w06_sized_utilisation": _sized("m.credits_used_compute", ""),
     "w06_sized_utilisation_daily": _sized("sum(m.credits_used_compute)", "group by 1, 2, 4"),
+    "w07_queries_inside": oracle("""
+select m.warehouse_name, strftime(m.start_time, '%Y-%m-%d %H:%M:%S') as warehouse_start_time,
+  strftime(m.end_time, '%Y-%m-%d %H:%M:%S') as warehouse_end_time, count(q.start_time) as queries,
+  strftime(min(q.start_time), '%Y-%m-%d %H:%M:%S') as first_query_start_time,
+  strftime(max(q.start_time), '%Y-%m-%d %H:%M:%S') as last_query_start_time
+from (select distinct warehouse_name, start_time, end_time from warehouse_metering_history) m
+left join query_activity q on q.warehouse_name = m.warehouse_name
+  and q.start_time between m.start_time and m.end_time
+group by m.warehouse_name, m.start_time, m.end_time"""),
     "w07_idle_gaps": oracle(_ALL_GAPS),
     "w07_idle_gaps_report": oracle(
         _GAPS.format(

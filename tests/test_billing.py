@@ -1,7 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
+from conftest import plan, rows
+from pyspark.sql import functions as F
 
 from meterlens.operators.months import drop_all_zero, pivot_months
 from meterlens.plans import billing as b
@@ -137,3 +138,33 @@ def test_year_to_date_ends_with_the_previous_month(frame):
         (dt.date(1997, 6, 30), dt.date(1998, 7, 1), 5)
     ]
     assert b.rates_on(usage, "S", "1998-06-30", "usage_date").count() == 1
+
+
+def test_rates_with_a_gap_and_an_overlap_are_reported(frame, at):
+    rates = frame(
+        "account_name string, valid_from date, valid_to date, price decimal(6,2)",
+        ("A", dt.date(2024, 1, 1), dt.date(2024, 3, 1), 2), ("A", dt.date(2024, 2, 1), dt.date(2024, 4, 1), 3),
+        ("A", dt.date(2024, 6, 1), None, 4), ("B", dt.date(2024, 1, 2), None, 5),
+    )
+    credits = frame(
+        "account_name string, service_type string, warehouse_name string, start_time timestamp_ntz, "
+        "credits_used_compute decimal(18,2)",
+        *(("A", "S", "W", at(f"2024-{month:02}-15 00:00:00"), 10) for month in (1, 2, 3, 5, 6, 12)),
+        ("B", "S", "W", at("2024-01-31 00:00:00"), 1), ("B", "S", "W", at("2024-02-01 00:00:00"), 1),
+        (None, "S", "W", at("2024-02-01 00:00:00"), 1),
+    )
+    found = b.rated_cost(credits, rates).orderBy(F.asc_nulls_last("account_name"), "usage_month").collect()
+    assert [(r.account_name, r.usage_month.month, r.status, r.rates, r.billable_usage and float(r.billable_usage))
+            for r in found] == [
+        ("A", 1, "priced", 1, 20), ("A", 2, "overlap", 2, None), ("A", 3, "priced", 1, 30),
+        ("A", 5, "gap", 0, None), ("A", 6, "priced", 1, 40), ("A", 12, "priced", 1, 40),
+        ("B", 1, "gap", 0, None), ("B", 2, "priced", 1, 5), (None, 2, "gap", 0, None),
+    ]
+
+
+def test_the_full_bill_reads_the_metering_log_once(spark):
+    import registry
+
+    text = plan(registry.all_queries()["b07_full_bill"](spark, "/root/testdata/sf0.001"))
+    # No other log of the bill takes this column of the base table.
+    assert sum("l_tax" in line for line in text.splitlines() if "FileScan" in line) == 1

@@ -133,3 +133,35 @@ def test_cost_is_split_over_distinct_tables(frame, at):
     assert {r.tag_value: (float(r.credits), r.object_uses) for r in found.collect()} == {
         "finance": (7.0, 2), "ops": (2.0, 1)
     }
+
+
+def test_tags_come_from_the_nearest_container_and_costs_add_up(frame, at):
+    access = frame(
+        "query_id bigint, user_name string, query_start_time timestamp_ntz, base_objects_accessed string",
+        *((q, "U", at("1998-06-30 00:00:00"), f'[{{"objectName":"{name}"}}]') for q, name in
+          enumerate(["D1.S1.T1", "D1.S1.T2", "D1.S2.T1", "D2.S1.T1", "D3.S9.T9"])),
+    )
+    history = frame(
+        "query_id bigint, start_time timestamp_ntz, warehouse_name string, user_name string",
+        *((q, at("1998-06-30 00:00:00"), "W1" if q < 3 else "W2", "U") for q in range(5)),
+    )
+    attribution = frame(
+        "query_id bigint, start_time timestamp_ntz, credits_attributed_compute decimal(18,4)",
+        *((q, at("1998-06-30 00:00:00"), 2**q) for q in range(5)),
+    )
+    schema = "domain string, object_database string, object_schema string, object_name string, tag_name string, tag_value string"
+    tags = [
+        ("TABLE", "D1", "S1", "T1", "DEPARTMENT", "table"), ("SCHEMA", "D1", None, "S1", "DEPARTMENT", "schema"),
+        ("DATABASE", None, None, "D1", "DEPARTMENT", "database"), ("DATABASE", None, None, "D2", "OTHER", "x"),
+        ("WAREHOUSE", None, None, "W1", "DEPARTMENT", "house"),
+    ]
+    arguments = (access, history, attribution)
+    found = g.cost_by_inherited_tag(*arguments, frame(schema, *tags))
+    assert sorted(((r.tag_value, r.tag_level, r.warehouse_tag, float(r.credits), r.object_uses)
+                   for r in found.collect()), key=repr) == sorted([
+        ("table", "table", "house", 1, 1), ("schema", "schema", "house", 2, 1),
+        ("database", "database", "house", 4, 1), (None, None, None, 24, 2)], key=repr)
+    account = ("ACCOUNT", None, None, "ACC", "DEPARTMENT", "account")
+    found = g.cost_by_inherited_tag(*arguments, frame(schema, *tags, account))
+    assert {(r.tag_value, float(r.credits)) for r in found.collect()} >= {("account", 24.0)}
+    assert "NestedLoop" not in plan(found)

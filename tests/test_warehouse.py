@@ -114,3 +114,34 @@ def test_gaps_equal_the_nearest_later_query(frame, at, seed):
     df = w.idle_gaps(frame(METERING, *intervals), frame(QUERIES, *queries))
     assert set(rows(df)) == expected
     assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
+
+
+def test_queries_inside_count_both_bounds(frame, at):
+    metering = frame(
+        "warehouse_name string, start_time timestamp_ntz, end_time timestamp_ntz",
+        ("A", at("2024-01-01 00:30:00"), at("2024-01-01 03:30:00")),
+        ("A", at("2024-01-01 00:30:00"), at("2024-01-01 03:30:00")),
+        ("A", at("2024-01-01 01:00:00"), at("2024-01-01 01:00:00")),
+        ("A", at("2024-01-01 23:59:59.5"), at("2024-01-02 00:00:00.25")),
+        ("B", at("2024-01-01 00:30:00"), at("2024-01-01 03:30:00")),
+        ("C", at("2024-01-01 04:00:00"), at("2024-01-01 03:00:00")),
+    )
+    times = ["2024-01-01 00:29:59.999", "2024-01-01 00:30:00", "2024-01-01 01:00:00", "2024-01-01 01:00:00",
+             "2024-01-01 02:59:59", "2024-01-01 03:30:00", "2024-01-01 03:30:00.001",
+             "2024-01-01 23:59:59.4", "2024-01-02 00:00:00.25"]
+    queries = frame(
+        "warehouse_name string, start_time timestamp_ntz",
+        *(("A", at(t)) for t in times), ("C", at("2024-01-01 03:30:00")),
+    )
+    expected = [
+        ("A", at(times[1]), at(times[5]), 5, at(times[1]), at(times[5])),
+        ("A", at(times[2]), at(times[2]), 2, at(times[2]), at(times[2])),
+        ("A", at("2024-01-01 23:59:59.5"), at(times[8]), 1, at(times[8]), at(times[8])),
+        ("B", at(times[1]), at(times[5]), 0, None, None),
+    ]
+    for seconds in (60, 3600, 86400 * 7):
+        found = w.queries_inside(metering, queries, bin_seconds=seconds)
+        assert rows(found, "warehouse_name", "warehouse_start_time") == expected
+    one = w.queries_inside(metering, queries, "2024-01-01", "A")
+    assert [r.queries for r in one.orderBy("warehouse_start_time").collect()] == [5, 2, 0]
+    assert "NestedLoop" not in plan(one) and "Cartesian" not in plan(one)
