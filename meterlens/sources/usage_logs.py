@@ -39,6 +39,17 @@ select o_orderkey as query_id, o_orderdate as start_time,
   case when o_orderkey % 13 = 0 then null else cast(o_orderkey % 100 as bigint) end as partitions_scanned,
   cast(100 as bigint) as partitions_total
 from orders
+""",
+    "query_scripts": """
+select o_orderkey as query_id, case o_orderkey % 7
+    when 0 then concat('select *', chr(10), 'from DB', cast(o_custkey % 4 as string), '.S.T1', chr(10), 'where a = ', chr(39), 'x', chr(39))
+    when 1 then concat('select * from (select 1 from A', cast(o_custkey % 9 as string), ', (select 2 from B.C6));')
+    when 2 then concat('copy into DB1.S1.T', cast(o_custkey % 9 as string), ' from @stage/file.csv;')
+    when 3 then concat('insert into T7; select 1 from ', chr(9), ' T8 join', chr(10), 'U', cast(o_custkey % 9 as string), ' on 1=1')
+    when 4 then concat('select * from "My Table" join X.Y', cast(o_custkey % 9 as string), ')')
+    when 5 then concat('select ', chr(39), 'from', chr(39), ' as word from Z1, Z2', chr(13), chr(10), 'join W', cast(o_custkey % 9 as string), ';', chr(10))
+    else 'copy into (select 1)' end as query_text
+from orders
 """,
     "query_attribution_history": """
 select l_orderkey as query_id, o_orderdate as start_time,

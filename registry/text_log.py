@@ -34,6 +34,10 @@ def _identifiers(plan):
 QUERIES = {
     "t01_table_references": _found(text_log.table_references),
     "t01_table_references_clean": _found(text_log.table_references, clean=True),
+    "t01_scripts": report(text_log.table_references, "query_scripts", text_col="query_text"),
+    "t01_scripts_clean": report(
+        text_log.table_references, "query_scripts", text_col="query_text", clean=True
+    ),
     "t01_table_reference_counts": report(
         text_log.table_reference_counts, "query_history", text_col="query_text"
     ),
@@ -44,22 +48,38 @@ QUERIES = {
     "t06_identifier_call": _identifiers(text_log.identifier_call),
 }
 
-_NAMES = "list_concat(" + "list_concat(" * 2 + ", ".join(
-    f"""list_filter(list_transform(string_split(upper(query_text), '{keyword}')[2:],
-    lambda x: split_part(trim(x), ' ', 1)),
+_ENDS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _names(word: str) -> str:
+    """The names behind each keyword as one list; ``word`` cuts a name out of ``x``."""
+    return "list_concat(" + "list_concat(" * 2 + ", ".join(
+        f"""list_filter(list_transform(string_split(upper(query_text), '{keyword}')[2:],
+    lambda x: {word}),
     lambda x: contains(x, '.') or regexp_matches(x, '^[A-Z0-9]+$'))""" + closing
-    for keyword, closing in (
-        ("INSERT INTO", ""), ("COPY INTO", ")"), ("FROM", ")"), ("JOIN", ")")
+        for keyword, closing in (
+            ("INSERT INTO", ""), ("COPY INTO", ")"), ("FROM", ")"), ("JOIN", ")")
+        )
     )
-)
-_LISTED = f"""
-select query_id, query_text, nullif(array_to_string({_NAMES}, ', '), '') as table_names
-from query_history"""
+
+
+_NAMES = _names(f"split_part(trim(x, {_ENDS}), ' ', 1)")
+_CLEAN_NAMES = _names(f"rtrim(regexp_split_to_array(ltrim(x, {_ENDS}), '[ \\t\\n\\x0b\\f\\r]')[1], ';,)')")
+
+
+def _listed(names: str, log: str = "query_history") -> str:
+    return oracle(f"""
+select query_id, query_text, nullif(array_to_string({names}, ', '), '') as table_names
+from {log}""")
+
+
 _AFTER = "ltrim(substr(upper(query_text), position('MERGE INTO' in upper(query_text)) + 10))"
 
 ORACLES = {
-    "t01_table_references": oracle(_LISTED),
-    "t01_table_references_clean": oracle(_LISTED),
+    "t01_table_references": _listed(_NAMES),
+    "t01_table_references_clean": _listed(_CLEAN_NAMES),
+    "t01_scripts": _listed(_NAMES, "query_scripts"),
+    "t01_scripts_clean": _listed(_CLEAN_NAMES, "query_scripts"),
     "t01_table_reference_counts": oracle(f"""
 select table_name, count(*) as mentions
 from (select unnest({_NAMES}) as table_name from query_history) n group by 1"""),
