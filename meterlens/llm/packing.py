@@ -38,6 +38,7 @@ class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model, self.known = Tokenizer.from_file(path), {}
+        self.letters: dict[str, bool] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -57,14 +58,23 @@ class WordIds:
         coded = text.encode()
         return (coded if b"<|" in coded else coded.lower()).split()
 
-    @staticmethod
-    def _parts(word: str) -> list[bytes]:
+    def _parts(self, word: str) -> list[bytes]:
         """Letters and the marks after them, which are tokens of their own, or the word."""
         stem = word.rstrip(MARKS)
-        if stem.isalpha() and stem != word:
+        if stem != word and (stem.isascii() and stem.isalpha() or stem and all(map(self._apart, stem))):
             return [stem.encode(), word[len(stem) :].encode()]
         return [word.encode()]
 
+    def _apart(self, char: str) -> bool:
+        """Whether the tokenizer always parts a character from a mark behind it: what it
+        turns some letters into ends with a combining mark, which joins the marks."""
+        if char not in self.letters:
+            plain = self.model.normalizer.normalize_str(char)
+            pieces = self.model.pre_tokenizer.pre_tokenize_str(plain + MARKS[0])
+            whole = [(0, len(plain)), (len(plain), len(plain) + 1)]
+            self.letters[char] = char.isalpha() and [span for _, span in pieces] == whole
+        return self.letters[char]
+
     def _learn(self, words: set[bytes]) -> None:
         part = list(words)
         coded = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)

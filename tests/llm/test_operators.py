@@ -311,3 +311,23 @@ def test_pipeline(spark, docs, tmp_path):
     assert {r.doc_id for r in packed} - {None} == {1, 7, 8, 10, 11, 12, 13, 14, 512, 5000}
     assert None in {r.doc_id for r in packed}
     assert len({(r.doc_id, r.piece) for r in packed}) == len(packed)
+
+
+def test_ids_of_every_letter_before_marks_and_of_random_texts():
+    path = public_tokenizers.path(packing.TOKENIZER)
+    whole, coder = Tokenizer.from_file(path), packing.WordIds(path)
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    joined = [c for c in letters if not c.isascii() and not coder._apart(c)]
+    assert "\u0130" in joined and "\u0958" in joined and "é" not in joined and "漢" not in joined
+    draw = random.Random(8)
+    odd = joined + letters[:500:7] + list("aB9 \n.,;:!?'-\u0301<|>")
+    texts = [f"a{c}{mark} {c}{c}{mark}{c}" for c in letters for mark in ".,;:!?"[ord(c) % 6]]
+    texts += [f"{c}{mark}{c} x{c}{c}{mark}." for c in joined for mark in ".,;:!?"]
+    texts += ["".join(draw.choices(odd, k=draw.randint(1, 40))) for _ in range(20_000)]
+    texts += ["DİYARBAKIRLI İ! TARİHİ.", "", None]
+    expected = whole.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+    wrong = [
+        t for t, ids, e in zip(texts, coder.encode(texts), expected)
+        if np.frombuffer(ids, np.uint32).tolist() != e.ids
+    ]
+    assert wrong == []
