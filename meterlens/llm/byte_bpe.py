@@ -23,32 +23,30 @@ CHUNK_CHARS = 4_000_000  # of the texts handled at once inside a batch
 
 # Each step gives every word that still has a mergeable pair its next state: the leftmost
 # pair of the smallest rank becomes one token at the left position, and the right
-# position goes. A row knows the next token of its word. A word without such a pair has
-# no next state; the fixpoint is reached when none has, and its last state counts.
+# position goes. A row knows the next token of its word. A word without such a pair puts
+# its rows out once more as done and takes no further step; at the fixpoint all are done.
 CONTRACT = """
-with recursive state(step, word, pos, token, next_pos, next_token) as (
-  select 0, word, pos, token, lead(pos) over w, lead(token) over w
+with recursive state(done, word, pos, token, next_pos, next_token) as (
+  select false, word, pos, token, lead(pos) over w, lead(token) over w
   from start window w as (partition by word order by pos)
   union all
-  select s.step + 1, s.word, s.pos,
+  select b.word is null, s.word, s.pos,
     case when s.pos = b.pos then b.merged else s.token end,
     case when s.pos = b.pos then b.after else s.next_pos end,
     case when s.pos = b.pos then b.after_token
       when s.next_pos = b.pos then b.merged else s.next_token end
-  from state s join (
+  from (select * from state where not done) s left join (
     select m.word, m.pos, m.merged, m.gone, g.next_pos as after, g.next_token as after_token
     from (
       select word, (min(place) % 1048576)::int as pos, (min(place) // 1048576)::int as merged,
         arg_min(next_pos, place) as gone
       from (
         select word, merged::bigint * 1048576 + pos as place, next_pos
-        from state join merges on token = a and next_token = b)
+        from (select * from state where not done) join merges on token = a and next_token = b)
       group by word) m
     join state g on g.word = m.word and g.pos = m.gone) b on s.word = b.word
-  where s.pos <> b.gone)
-select word, token
-from state semi join (select word, max(step) as step from state group by word) using (word, step)
-order by word, pos
+  where b.word is null or s.pos <> b.gone)
+select word, token from state where done order by word, pos
 """
 
 # The same for few long words: rows replace the row of their position (-1: gone), so that
