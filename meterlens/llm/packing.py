@@ -23,7 +23,7 @@ END = 0  # id after each document
 TOKENIZER = "word_bpe_49k.json"
 TRIPLE_LENGTHS = 24  # first lengths of the three-document patterns
 SWEEPS = 15  # of coordinate descent
-CACHE_WORDS = 500_000  # words whose ids a worker keeps; then it starts anew
+CACHE_WORDS = 500_000  # words whose ids a worker keeps, in two generations
 
 Pattern = tuple[int, ...]
 
@@ -38,19 +38,23 @@ class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model, self.known = Tokenizer.from_file(path), {}
+        self.before: dict[bytes, bytes] = {}  # known words of a generation ago
         self.letters: dict[str, bool] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [self._words(t or "") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = {w for text in words for w in text} - self.known.keys()
-        parts = {w: self._parts(w.decode()) for w in new}
-        self._learn({p for part in parts.values() for p in part} - self.known.keys())
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        unseen = [w for w in set().union(*words) if w not in known]
+        known.update((w, before[w]) for w in unseen if w in before)
+        parts = {w: self._parts(w.decode()) for w in unseen if w not in before}
+        self._learn({p for part in parts.values() for p in part if p not in known})
         for w, part in parts.items():
-            self.known[w] = b"".join(map(self.known.__getitem__, part))
-        return [b"".join(map(self.known.__getitem__, text)) for text in words]
+            if w not in known:
+                known[w] = b"".join(map(known.__getitem__, part))
+        return [b"".join(map(known.__getitem__, text)) for text in words]
 
     @staticmethod
     def _words(text: str) -> list[bytes]:
