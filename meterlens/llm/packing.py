@@ -23,7 +23,7 @@ END = 0  # id after each document
 TOKENIZER = "word_bpe_49k.json"
 TRIPLE_LENGTHS = 24  # first lengths of the three-document patterns
 SWEEPS = 15  # of coordinate descent
-CACHE_WORDS = 500_000  # words whose ids a worker keeps, in two generations
+CACHE_WORDS = 800_000  # words whose ids a worker keeps, in two generations
 
 Pattern = tuple[int, ...]
 
