@@ -38,11 +38,15 @@ def page_entries(pages: DataFrame) -> DataFrame:
         wrapped.isNull() & F.array_contains(F.json_object_keys("payload"), "results")
     )
     listed = F.coalesce(wrapped, bare, F.when(bodiless, F.lit("[]")))
-    sized = pages.select(
-        "endpoint", "page_no", F.json_array_length(listed).alias("size"),
-        F.posexplode_outer(F.from_json(listed, "array<string>")).alias("position", "text"),
+    # Parsed before the list is taken apart, so that no later column parses once more.
+    entries = F.transform(
+        F.from_json(listed, "array<string>"),
+        lambda text: F.struct(text.alias("text"), F.try_parse_json(text).alias("parsed")),
     )
-    parsed = sized.withColumn("parsed", F.try_parse_json("text"))
+    parsed = pages.select(
+        "endpoint", "page_no", F.json_array_length(listed).alias("size"),
+        F.posexplode_outer(entries).alias("position", "_entry"),
+    ).select("endpoint", "page_no", "size", "position", "_entry.*")
     is_object = F.try_variant_get("parsed", "$", OBJECT).isNotNull()
     # A null in the list has no text, but it has a position.
     other = F.when(F.col("position").isNotNull() & ~is_object, F.coalesce("text", F.lit("null")))
