@@ -1,8 +1,8 @@
-"""Removal of repeated byte strings by longest previous factors."""
+"""Removal of repeated byte strings: anchored strings in suffix order, anchor by anchor."""
 
 from __future__ import annotations
 
-import hashlib
+import functools
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,9 @@ GRAM = 50  # bytes of an anchor
 SEGMENT = 2**20  # bytes looked at together; the positions of an anchor need 24 bits
 GROUP = 1000  # contexts of one anchor that are sorted together
 BATCH = 2**18  # context bytes sorted at once
+# A key with more than a SPREAD-th of all rows is hot: there are fewer than SPREAD of them,
+# and the rows of each are dealt over as many salts.
+SPREAD = 1000
 
 _RNG = np.random.default_rng(20240607)
 _BYTES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -45,14 +48,14 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     Each string is assigned the leftmost of its grams with the smallest hash, which its
     content alone decides: equal strings have their anchor at the same place. Gives for
     each run of strings with one anchor: hash of the gram, hash of the run's bytes and
-    place, first and last start of its strings.
+    place, first and last start of its strings, start of the gram.
     """
     n, windows = len(data), length - gram + 1
     power, inverse = _powers(max(n, SEGMENT) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * power[:n])])
     grams = n - gram + 1
     if grams < windows:
-        return [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2
+        return [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 3
     hashes = _mix((sums[gram:] - sums[:grams]) * inverse[:grams])
     key = (hashes & ~np.uint64(2**24 - 1)) | np.arange(grams, dtype=np.uint64)
     pad = -grams % windows
@@ -74,7 +77,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     place = anchor[first]
     whole = (sums[last + length] - sums[first]) * inverse[first]
     shape = ((place - first) * 1000 + (last - first)).astype(np.uint64)
-    return [hashes[place], _mix(whole + _mix(shape)), first, last]
+    return [hashes[place], _mix(whole + _mix(shape)), first, last, place]
 
 
 def _segments(text: bytes, length: int):
@@ -84,19 +87,16 @@ def _segments(text: bytes, length: int):
 
 
 def _anchored(docs: DataFrame) -> DataFrame:
-    """Rows (gram, run, uid, first, more) of all anchors; a text once per task."""
+    """Rows (gram, run, uid, first, more, back) of all anchors. The strings start at
+    first..first + more, the gram ``back`` bytes after the first one."""
 
     def run(batches):
-        seen: set[int] = set()
         for batch in batches:
             parts: list[tuple[int, int, bytes]] = []
             size = 0
             uids = batch.column(0).to_pylist()
             for uid, text in zip(uids, batch.column(1).to_pylist(), strict=True):
                 coded = text.encode()
-                if len(coded) < LENGTH or uid in seen:
-                    continue
-                seen.add(uid)
                 for offset, part in _segments(coded, LENGTH):
                     parts.append((uid, offset, part))
                     size += len(part)
@@ -110,7 +110,7 @@ def _anchored(docs: DataFrame) -> DataFrame:
         data = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8)
         sizes = np.array([len(p) for _, _, p in parts])
         ends = np.cumsum(sizes)
-        gram, whole, first, last = anchors(data, ends)
+        gram, whole, first, last, place = anchors(data, ends)
         part = np.searchsorted(ends, first, side="right")
         shift = np.array([o for _, o, _ in parts]) - (ends - sizes)
         uid = np.array([u for u, _, _ in parts], np.int64)[part]
@@ -118,12 +118,12 @@ def _anchored(docs: DataFrame) -> DataFrame:
             [
                 pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(uid),
                 pa.array((first + shift[part]).astype(np.int64)),
-                pa.array((last - first).astype(np.int32)),
+                pa.array((last - first).astype(np.int32)), pa.array((place - first).astype(np.int32)),
             ],
-            names=["gram", "run", "uid", "first", "more"],
+            names=["gram", "run", "uid", "first", "more", "back"],
         )
 
-    schema = "gram long, run long, uid long, first long, more int"
+    schema = "gram long, run long, uid long, first long, more int, back int"
     return map_batches(docs.select("uid", "text"), run, schema)
 
 
@@ -157,16 +157,15 @@ def _suffix_ranks(strings: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def _compared(contexts: DataFrame) -> DataFrame:
-    """Rows (uid, first, last, earlier) for strings with an equal one in their group, and
-    rows with a ``digest`` for the distinct strings of groups that were split."""
-    schema = "uid long, first long, last long, earlier boolean, digest long, solo boolean"
+def _compared(contexts: DataFrame, keep_first: bool) -> DataFrame:
+    """Rows (uid, first, last): starts of strings with an equal one in their group (gram,
+    key), or with one at an earlier place. Takes rows (gram, key, uid, first, context)."""
 
     def run(batches):
         held: list[tuple] = []
         size, last_key = 0, None
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
+            columns = [batch.column(i).to_pylist() for i in range(5)]
             for row in zip(*columns, strict=True):
                 key = row[:2]
                 if key != last_key and size >= BATCH:
@@ -174,13 +173,13 @@ def _compared(contexts: DataFrame) -> DataFrame:
                     held, size = [], 0
                 last_key = key
                 held.append(row)
-                size += len(row[5])
+                size += len(row[4])
         if held:
             yield compare(held)
 
     def compare(rows):
-        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        sizes = np.array([len(r[5]) for r in rows])
+        data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+        sizes = np.array([len(r[4]) for r in rows])
         counts = sizes - LENGTH + 1
         owner = np.repeat(np.arange(len(rows)), counts)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -188,67 +187,97 @@ def _compared(contexts: DataFrame) -> DataFrame:
         strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[start]
         # Contexts come in the order of their places, so a string's index is its rank.
         earlier, later = previous_and_next(strings, np.arange(len(start)))
-        first = np.array([r[4] for r in rows])[owner] + step
-        uid = np.array([r[3] for r in rows], np.int64)[owner]
-        split = np.array([r[2] for r in rows], bool)[owner]
-        out = []
-        for flag, is_earlier in ((earlier | later, False), (earlier, True)):
-            kept = np.flatnonzero(flag)
-            if len(kept):
-                breaks = np.ones(len(kept), bool)
-                breaks[1:] = (kept[1:] != kept[:-1] + 1) | (owner[kept[1:]] != owner[kept[:-1]])
-                begin = kept[breaks]
-                stop = kept[np.append(np.flatnonzero(breaks)[1:] - 1, len(kept) - 1)]
-                out.append((uid[begin], first[begin], first[stop], np.full(len(begin), is_earlier), None, None))
-        shared = np.flatnonzero(split & ~earlier)
-        if len(shared):
-            digest = np.array(
-                [int.from_bytes(hashlib.blake2b(strings[i].tobytes(), digest_size=8).digest(), "little", signed=True) for i in shared],
-                np.int64,
-            )
-            out.append((uid[shared], first[shared], first[shared], np.zeros(len(shared), bool), digest, ~later[shared]))
-        if not out:
-            return pa.RecordBatch.from_pylist([], pa.schema([("uid", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("earlier", pa.bool_()), ("digest", pa.int64()), ("solo", pa.bool_())]))
+        first = np.array([r[3] for r in rows], np.int64)[owner] + step
+        uid = np.array([r[2] for r in rows], np.int64)[owner]
+        kept = np.flatnonzero(earlier if keep_first else earlier | later)
+        breaks = np.ones(len(kept), bool)
+        breaks[1:] = (kept[1:] != kept[:-1] + 1) | (owner[kept[1:]] != owner[kept[:-1]])
+        begin = kept[breaks]
+        stop = kept[np.append(np.flatnonzero(breaks)[1:] - 1, len(kept) - 1)] if len(kept) else begin
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([o[i] for o in out])) for i in range(4)]
-            + [
-                pa.concat_arrays([pa.nulls(len(o[0]), t) if o[i] is None else pa.array(o[i]) for o in out])
-                for i, t in ((4, pa.int64()), (5, pa.bool_()))
-            ],
-            names=["uid", "first", "last", "earlier", "digest", "solo"],
+            [pa.array(uid[begin]), pa.array(first[begin]), pa.array(first[stop])], names=["uid", "first", "last"]
         )
 
-    return map_batches(contexts, run, schema)
+    groups = contexts.repartition("gram", "key").sortWithinPartitions("gram", "key", "uid", "first")
+    return map_batches(groups, run, "uid long, first long, last long")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Rows (uid, first, last, earlier): starts first..last of strings of ``LENGTH`` bytes
-    that also start elsewhere in the same ``text`` or in one of another ``uid``;
-    ``earlier``: those that also start at an earlier place (order of uid and position).
-    Rows of one uid have one text."""
-    rows = _anchored(docs)
-    repeated = rows.groupBy("gram").count().filter("count > 1").select("gram")
-    kept = stored(rows.join(repeated, "gram", "left_semi").distinct(), "repeat-anchors")
-    runs = kept.groupBy("gram", "run").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("uid", "first")).alias("place")
+def _joined(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+    """``rows`` (with uid, first) joined with ``facts``, a stored table of one row per key
+    and the ``count`` of its rows. Only the keys of hot ones are broadcast, fewer than
+    ``SPREAD``; no other key has more than that share of the rows."""
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(facts.filter(F.col(count) > max(GROUP, total // SPREAD)).select(*keys, F.lit(True).alias("hot")))
+    dealt = rows.join(hot, keys, "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("uid", "first"), F.lit(SPREAD))).otherwise(0).cast("int")
     )
-    variants = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
-    copied = runs.filter("times > 1").select("gram", "run", F.col("place.uid").alias("u"), F.col("place.first").alias("f"))
-    whole = kept.join(copied, ["gram", "run"]).select(
-        "uid", "first", (F.col("first") + F.col("more")).alias("last"),
-        F.explode(F.when((F.col("uid") == F.col("u")) & (F.col("first") == F.col("f")), F.array(F.lit(False)))
-                  .otherwise(F.array(F.lit(False), F.lit(True)))).alias("earlier"),
+    salted = facts.join(hot, keys, "left").withColumn(
+        "salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0))))
     )
-    wanted = (
-        runs.join(variants, "gram")
-        .select("gram", "run", "variants", F.col("place.uid").alias("uid"), F.col("place.first").alias("first"))
-        .join(kept.select("gram", "run", "uid", "first", "more"), ["gram", "run", "uid", "first"])
-        .select(
-            "uid", "gram", "first", "more", (F.col("variants") > GROUP).alias("split"),
-            F.pmod(F.xxhash64("run"), F.ceil(F.col("variants") / GROUP)).cast("int").alias("sub"),
-        )
+    return dealt.drop("hot").join(salted.drop("hot"), [*keys, "salt"], how).drop("salt")
+
+
+def _halves(level: DataFrame) -> DataFrame:
+    """The strings of each context, dealt by the halves of the range ``lo``..``hi`` in which
+    their anchor's offset lies.
+
+    All strings of a half hold the same bytes around their gram: the smaller the range the
+    more, the whole string at last. The ``key`` hashes these, so that equal strings stay
+    together; ``run`` hashes all bytes of the half's strings.
+    """
+    mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+    halves = F.array(
+        F.struct(F.col("lo").alias("a"), mid.alias("b")), F.struct((mid + 1).alias("a"), F.col("hi").alias("b"))
+    )
+    place = F.col("first") + F.col("back")
+    begin = F.greatest("first", place - F.col("half.b"))
+    end = F.least(F.col("first") + F.col("more"), place - F.col("half.a"))
+    cut = level.withColumn("half", F.explode(halves)).withColumn("begin", begin).withColumn("end", end)
+    cut = cut.filter("begin <= end").select(
+        "gram", F.col("half.a").alias("lo"), F.col("half.b").alias("hi"), "uid", F.col("begin").alias("first"),
+        (F.col("end") - F.col("begin")).cast("int").alias("more"), (place - F.col("begin")).cast("int").alias("back"),
+        F.col("context").substr(
+            (F.col("begin") - F.col("first") + 1).cast("int"), (F.col("end") - F.col("begin") + LENGTH).cast("int")
+        ).alias("context"),
+    )
+    shared = F.col("context").substr(F.col("back") - F.col("lo") + 1, LENGTH + F.col("lo") - F.col("hi"))
+    return cut.select(
+        "*", F.xxhash64("lo", shared).alias("key"), F.xxhash64("context", "back", "more").alias("run")
+    )
+
+
+def _copies(rows: DataFrame, keep_first: bool) -> DataFrame:
+    """Rows (uid, first, last) of the runs that have an equal run; ``u`` and ``f`` tell the
+    place of the first of these."""
+    copied = F.col("times") > 1
+    if keep_first:
+        copied &= (F.col("uid") != F.col("u")) | (F.col("first") != F.col("f"))
+    return rows.filter(copied).select("uid", "first", (F.col("first") + F.col("more")).alias("last"))
+
+
+def repeated_spans(docs: DataFrame, keep_first: bool = False) -> DataFrame:
+    """Rows (uid, first, last): starts first..last of strings of ``LENGTH`` bytes that also
+    start elsewhere in the same ``text`` or in one of another ``uid``; with ``keep_first``
+    those that also start at an earlier place (order of uid and position). A uid has one
+    row."""
+    rows = _anchored(docs)
+    repeated = stored(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeat-grams")
+    kept = stored(_joined(rows, repeated, ["gram"], "n", "left_semi"), "repeat-anchors")
+    times = F.count(F.lit(1)).alias("times")
+    least = F.min(F.struct("uid", "first")).alias("place")
+    runs = kept.groupBy("gram", "run").agg(times, least, F.min("more").alias("more"), F.min("back").alias("back"))
+    runs = stored(
+        runs.select("gram", "run", "times", F.col("place.uid").alias("uid"), F.col("place.first").alias("first"), "more", "back"),
+        "repeat-runs",
+    )
+    several = F.count(F.lit(1)).alias("variants")
+    variants = stored(runs.groupBy("gram").agg(several).filter("variants > 1"), "repeat-variants")
+    firsts = runs.filter("times > 1").select("gram", "run", "times", F.col("uid").alias("u"), F.col("first").alias("f"))
+    found = [_copies(_joined(kept, firsts, ["gram", "run"], "times"), keep_first)]
+    wanted = _joined(runs.drop("times", "run"), variants, ["gram"], "variants")
+    places = wanted.groupBy("uid").agg(
+        F.collect_list(F.struct("gram", "variants", "first", "more", "back")).alias("places")
     )
-    places = wanted.groupBy("uid").agg(F.collect_list(F.struct("gram", "sub", "split", "first", "more")).alias("places"))
 
     def cut(batches):
         for batch in batches:
@@ -256,7 +285,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             for uid, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 coded = text.encode()
                 out += [
-                    (p["gram"], p["sub"], p["split"], uid, p["first"], coded[p["first"] : p["first"] + p["more"] + LENGTH])
+                    (p["gram"], p["variants"], uid, p["first"], p["more"], p["back"], coded[p["first"] : p["first"] + p["more"] + LENGTH])
                     for p in places
                 ]
                 if len(out) > 5000:
@@ -266,31 +295,35 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 yield contexts_batch(out)
 
     def contexts_batch(out):
-        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-            names=["gram", "sub", "split", "uid", "first", "context"],
+            names=["gram", "variants", "uid", "first", "more", "back", "context"],
         )
 
     texts = docs.select("uid", "text").join(places.hint("shuffle_hash"), "uid").select("uid", "text", "places")
-    contexts = map_batches(
-        texts, cut, "gram long, sub int, split boolean, uid long, first long, context binary"
-    )
-    compared = stored(
-        _compared(contexts.repartition("gram", "sub").sortWithinPartitions("gram", "sub", "uid", "first")),
-        "repeat-compared",
+    schema = "gram long, variants long, uid long, first long, more int, back int, context binary"
+    contexts = stored(map_batches(texts, cut, schema), "repeat-contexts")
+    small = ["gram", "key", "uid", "first", "context"]
+    sorted_together = [contexts.filter(F.col("variants") <= GROUP).withColumn("key", F.lit(0).cast("long")).select(*small)]
+    level = contexts.filter(F.col("variants") > GROUP).select(
+        "*", F.lit(0).alias("lo"), F.lit(LENGTH - GRAM).alias("hi")
     )
-    spans = compared.filter("digest is null").select("uid", "first", "last", "earlier")
-    strings = compared.filter("digest is not null")
-    across = strings.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "first")).alias("place")
-    ).filter("n > 1")
-    met = strings.join(across, "digest").select(
-        "uid", "first", "last",
-        F.explode(F.when((F.col("uid") == F.col("place.uid")) & (F.col("first") == F.col("place.first")), F.array(F.lit(False)))
-                  .otherwise(F.array(F.lit(False), F.lit(True)))).alias("earlier"),
-    )
-    return whole.unionByName(spans).unionByName(met)
+    keys = ["gram", "key"]
+    while not level.isEmpty():
+        halves = stored(_halves(level), "repeat-halves")
+        equal = halves.groupBy(*keys, "run").agg(times, least).select(
+            *keys, "run", "times", F.col("place.uid").alias("u"), F.col("place.first").alias("f")
+        )
+        met = stored(_joined(halves, stored(equal, "repeat-equal"), [*keys, "run"], "times"), "repeat-met")
+        found.append(_copies(met, keep_first))
+        one = met.filter("uid = u and first = f").drop("run", "times", "u", "f")
+        variants = stored(one.groupBy(*keys).agg(several).filter("variants > 1"), "repeat-variants")
+        level = stored(_joined(one, variants, keys, "variants"), "repeat-level")
+        sorted_together.append(level.filter(F.col("variants") <= GROUP).select(*small))
+        level = level.filter(F.col("variants") > GROUP)
+    found.append(_compared(functools.reduce(DataFrame.unionByName, sorted_together), keep_first))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def remove_repeats(
@@ -307,8 +340,10 @@ def remove_repeats(
 
     A suffix order of all bytes is not built: equal strings share their anchor, so only
     suffixes at anchors that occur again are put in suffix order, anchor by anchor. Runs
-    of strings that are equal as a whole are told by hash before that. Anchors with very
-    many contexts are split into groups whose distinct strings then meet by digest.
+    of strings that are equal as a whole are told by hash before that. The contexts of an
+    anchor with very many of them are dealt by the bytes that all their strings share on
+    either side of it, again and again by halves of the anchor's offset where these are
+    frequent too: equal strings stay in one group, and no row is made per string.
     """
     base = docs.select(
         F.col(id_col).alias("id"), whole_text(F.col(text_col)).alias("text"),
@@ -319,7 +354,8 @@ def remove_repeats(
         .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("one")).filter("n > 1"),
         "repeat-copies",
     )
-    spans = repeated_spans(base).filter(F.col("earlier") if keep_first else ~F.col("earlier"))
+    long = base.filter(F.octet_length("text") >= LENGTH).select("uid", "text")
+    spans = repeated_spans(stored(long.distinct(), "repeat-texts"), keep_first)
     found = (
         spans.select("uid", F.struct("first", "last").alias("span"), F.lit(False).alias("copied"))
         .unionByName(copies.select("uid", F.lit(None).cast("struct<first:bigint,last:bigint>").alias("span"), F.lit(True).alias("copied")))

@@ -143,6 +143,47 @@ def test_split_contexts_meet_by_digest(docs, monkeypatch):
     assert sorted(rows_of(substring_dedup.remove_repeats(docs)), key=str) == whole
 
 
+def without_strings(texts, keep_first=False):
+    """Bytes left of ``texts``, in order of place: copies removed, all or but the first."""
+    size, seen, left = substring_dedup.LENGTH, {}, []
+    for c in texts:
+        for p in range(len(c) - size + 1):
+            seen[c[p : p + size]] = seen.get(c[p : p + size], 0) + 1
+    met = set()
+    for c in texts:
+        gone = bytearray(len(c))
+        for p in range(len(c) - size + 1):
+            s = c[p : p + size]
+            if s in met if keep_first else seen[s] > 1:
+                gone[p : p + size] = b"\x01" * size
+            met.add(s)
+        left.append(bytes(x for x, g in zip(c, gone, strict=True) if not g))
+    return left
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_one_passage_in_many_texts(spark, monkeypatch, keep_first):
+    # Passages shorter than, as long as and longer than a string, between other words, with
+    # differences near their ends, and a gram that very many different strings have.
+    draw, texts = random.Random(5), []
+    passages = [prose(600 + n, n) for n in (25, 36, 45, 90)] + ["abc" * 17, "q" * 260]
+    for i in range(90):
+        p = passages[i % len(passages)]
+        at = draw.randint(0, 60)
+        changed = p[:at] + "#" + p[at + 1 :] if i % 5 == 0 else p
+        texts.append(f"{prose(700 + i, draw.randint(0, 40))}|{changed}|{prose(900 + i, draw.randint(0, 40))}")
+    texts += [texts[3], texts[3], "q" * 900]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    order = dict(rows_of(rows.selectExpr("doc_id", "xxhash64(text) as uid")))
+    places = sorted(order, key=lambda i: (order[i], i))
+    expected = dict(zip(places, without_strings([texts[i].encode() for i in places], keep_first), strict=True))
+    for group, spread in ((1000, 1000), (3, 20)):
+        monkeypatch.setattr(substring_dedup, "GROUP", group)
+        monkeypatch.setattr(substring_dedup, "SPREAD", spread)
+        found = substring_dedup.remove_repeats(rows, keep_first=keep_first).select("doc_id", "kept")
+        assert {i: bytes(k) for i, k in rows_of(found)} == expected
+
+
 def test_fingerprints(docs, empty):
     found = edited_fingerprints(docs).collect()
     order = sorted(TEXTS, key=lambda x: (x[0] is None, -(x[0] or 0), text_of(x[1])))
