@@ -9,8 +9,8 @@ from meterlens.llm.common import documents, stored, whole_text
 
 # The characters that equality ignores.
 BLANKS = r"[\x20\x09-\x0D]+"
-# A text's copies are dealt over this many sort groups.
-SALTS = 64
+# A text's copies are dealt over this many sorted runs.
+SALTS = 1024
 # Leading characters that order texts before their hash does; bounds what the sampling of
 # splitters sends to the driver.
 PREFIX = 16
@@ -25,9 +25,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Content sort: sampled splitters range-partition the normalised texts by leading
     characters, hash and salt. Sorting inside the ranges places equal texts side by
-    side, and each is compared in full with its neighbour. The salt cuts a text with very
-    many copies into several sorted runs; run heads then meet by digest, at most
-    ``SALTS`` per text. Only the first step moves texts.
+    side, the row that stays first, and each is compared in full with its neighbours: a
+    run of equal texts begins and ends where they differ. The salt, of the id and the
+    input partition, cuts a text with very many copies into at most ``SALTS`` runs. One
+    row of each run, with its size and first row, meets those of the same digest; a
+    group's size and the row that stays go back to the rows by their run.
     """
     source = docs.select(
         F.col(id_col).alias("id"),
@@ -38,33 +40,44 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "*",
         F.substring("norm", 1, PREFIX).alias("prefix"),
         F.xxhash64("norm").alias("hash"),
-        F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"),
+        F.pmod(F.xxhash64("id", F.spark_partition_id()), F.lit(SALTS)).alias("salt"),
     )
     place = ["prefix", "hash", "salt"]
-    in_run = Window.partitionBy(*place).orderBy(
+    in_order = Window.partitionBy(*place).orderBy(
         "norm", F.desc("length"), F.asc_nulls_last("id")
     )
-    before = F.lag("norm").over(in_run)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before, after = F.lag("norm").over(in_order), F.lead("norm").over(in_order)
+    first = F.when(F.col("head"), F.struct("row", "number", "length", "id"))
     compared = (
         keyed.repartitionByRange(*place)
+        .withColumn("row", F.monotonically_increasing_id())
         .withColumn("head", before.isNull() | (before != F.col("norm")))
+        .withColumn("tail", after.isNull() | (after != F.col("norm")))
+        .withColumn("number", F.row_number().over(in_order))
+        .withColumn("first", F.last(first, ignorenulls=True).over(so_far))
         .select(
-            "id", "length", "head",
-            F.unhex(F.sha2("norm", 256)).alias("digest"),
-            F.monotonically_increasing_id().alias("row"),
+            "id", "row", F.col("first.row").alias("run"),
+            F.when(
+                F.col("tail"),
+                F.struct(
+                    (F.col("number") - F.col("first.number") + 1).alias("size"),
+                    F.unhex(F.sha2("norm", 256)).alias("digest"),
+                    F.struct(
+                        (-F.col("first.length")).alias("l"), F.isnull("first.id").alias("n"),
+                        F.col("first.id").alias("id"), F.col("first.row").alias("row"),
+                    ).alias("best"),
+                ),
+            ).alias("whole"),
         )
     )
     rows = stored(compared, "exact-rows")
-    best = F.min(
-        F.when(
-            F.col("head"),
-            F.struct((-F.col("length")).alias("l"), F.isnull("id").alias("n"), "id", "row"),
-        )
-    )
-    groups = rows.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("group_size"), best.alias("best")
+    runs = rows.filter("whole is not null").select("run", "whole.*")
+    groups = runs.groupBy("digest").agg(
+        F.sum("size").alias("group_size"), F.min("best").alias("best")
     )
-    return rows.join(groups, "digest").select(
+    merged = runs.select("run", "digest").join(groups, "digest")
+    return rows.select("id", "row", "run").join(merged, "run").select(
         F.col("id").alias(id_col),
         F.col("best.id").alias("keep_id"),
         "group_size",
