@@ -82,8 +82,9 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
 _YOU = frozenset(YOU)
 
 
-def learned_lexicon(train: DataFrame, text_col: str) -> dict[str, float]:
-    """Words with the log odds of toxic documents among those that hold them."""
+def learned_lexicon(train: DataFrame, text_col: str, most: int = LEXICON) -> dict[str, float]:
+    """Words with the log odds of toxic documents among those that hold them: at most
+    ``most``, those in the most toxic documents first."""
     # Both classes' documents per word combine in the map tasks; a bounded list comes back.
     words = train.select(
         "toxic", F.explode(F.array_distinct(F.split(F.lower(F.coalesce(text_col, F.lit(""))), r"[^\p{L}]+"))).alias("word")
@@ -91,7 +92,7 @@ def learned_lexicon(train: DataFrame, text_col: str) -> dict[str, float]:
     rows = (
         words.groupBy("word").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
         .filter((F.length("word") > 2) & (F.col("n") >= LEXICON_DOCS) & (F.col("bad") >= LEXICON_SHARE * F.col("n")))
-        .orderBy(F.desc("bad"), "word").limit(LEXICON).collect()
+        .orderBy(F.desc("bad"), "word").limit(most).collect()
     )
     lexicon = dict.fromkeys(INSULTS, 1.0)
     return lexicon | {r.word: math.log((r.bad + 1) / (r.n - r.bad + 1)) + 1 for r in rows}
@@ -99,15 +100,16 @@ def learned_lexicon(train: DataFrame, text_col: str) -> dict[str, float]:
 
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    key_col: str | None = None,
+    key_col: str | None = None, lexicon_words: int = LEXICON,
 ) -> DataFrame:
     """One row per input row: id, ``held_out``, ``score`` in [0, 1], ``predicted``.
 
     ``labels`` has the id and ``toxic`` (0 or 1; null is no label). Ids whose crc32, as
     text, leaves the remainder 1 modulo 3 are held out: their labels are never used. Of
     the others a hashed sample of about ``TRAIN_ROWS`` is learned from, so the sample's
-    ids are small enough to broadcast and texts are never shuffled: a lexicon, boosted
-    trees on four fifths and the isotonic calibration on one. Without training rows of
+    ids are small enough to broadcast and texts are never shuffled: a lexicon (the insults
+    given and at most ``lexicon_words`` learned words) and boosted trees from four fifths,
+    the isotonic calibration from the fifth that neither has seen. Without training rows of
     both classes every score is the share of toxic ones (0 without labels). Null texts
     count as empty; null ids are scored and not held out; repeated rows get a row each.
     ``key_col`` names a column that is handed on as the last one.
@@ -125,7 +127,8 @@ def toxicity_scores(
     draw = F.pmod(F.xxhash64("label_id", F.lit("train")), F.lit(2**20))
     chosen = stored(usable.filter(draw < math.ceil(share * 2**20)), "toxic-labels")
     train = docs.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
-    lexicon = learned_lexicon(train, "text")
+    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(5))
+    lexicon = learned_lexicon(train.filter(fold != 0), "text", lexicon_words)
 
     def run(batches):
         for batch in batches:
@@ -140,7 +143,6 @@ def toxicity_scores(
     known = dense.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select(
         "id", "toxic", array_to_vector("features").alias("features")
     )
-    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(5))
     grown = known.filter(fold != 0)
     classes = {r.toxic: r["count"] for r in grown.groupBy("toxic").count().collect()}
     held_out = (rest("id") == 1).alias("held_out")
