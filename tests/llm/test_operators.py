@@ -13,6 +13,8 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from meterlens.llm import byte_bpe, kd_shards, packing, secrets, substring_dedup, token_counts
+from meterlens.llm import exact_dedup as dedup_module
+from meterlens.llm import toxicity as toxicity_module
 from meterlens.llm.exact_dedup import exact_dedup
 from meterlens.llm.fingerprints import edited_fingerprints
 from meterlens.llm.ngram_join import ngram_components
@@ -72,6 +74,25 @@ def test_exact_dedup(docs, empty):
     assert rows_of(exact_dedup(empty)) == []
 
 
+@pytest.mark.parametrize("salts", [1, 5])
+def test_runs_of_copies_meet(spark, monkeypatch, salts):
+    monkeypatch.setattr(dedup_module, "SALTS", salts)
+    texts = ["same  start here" + x for x in ("", " a", "b", " ", "\t\n", "")]
+    rows = [(None if i % 4 == 0 else 1000 - i, texts[i * i % 6]) for i in range(240)]
+    found = rows_of(exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)))
+    plain = {}
+    for i, t in rows:
+        norm = re.sub(r"[\x20\x09-\x0D]", "", t)
+        plain.setdefault(hashlib.sha256(norm.encode()).hexdigest(), []).append((-len(t), i is None, i or 0))
+    for digest, group in plain.items():
+        mine = [r for r in found if r[4] == digest]
+        _, gone, best = min(group)
+        assert len(mine) == len(group) and {r[2] for r in mine} == {len(group)}
+        assert {r[1] for r in mine} == {None if gone else best} and sum(r[3] for r in mine) == 1
+        assert [r[0] for r in mine if r[3]] == [None if gone else best]
+    assert len(found) == len(rows)
+
+
 def test_ngram_components(docs, empty):
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", text_of(t).encode().lower().decode())
@@ -210,6 +231,31 @@ def test_toxicity_without_and_with_labels(spark, docs, empty):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in scored)
 
 
+def test_toxicity_calibration_rows_are_not_in_the_lexicon(spark, monkeypatch):
+    rows = [(i, f"text {prose(i, 5)} " + ("idiot" if i % 3 == 0 else "")) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity_module, "learned_lexicon", lambda train, *_: seen.extend(rows_of(train.select("id"))) or {"idiot": 1.0})
+    scores = {r.doc_id: r.score for r in toxicity_scores(docs, labels).collect()}
+    fold = dict(rows_of(docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'fold'), 5)")))
+    assert {i for i, in seen} == {i for i, _ in rows if fold[i] != 0 and zlib.crc32(str(i).encode()) % 3 != 1}
+    assert min(scores[i] for i, _ in rows if i % 3 == 0) > max(scores[i] for i, _ in rows if i % 3)
+
+
+def test_toxicity_features_by_hand():
+    # Five words, one insult two words behind a second person, one letter in capitals of 26
+    # characters, two exclamation marks.
+    text = "You are an idiot, really!!"
+    found = features(text, {"idiot": 2.0, "moron": 1.5})
+    assert found[:6] == [1.0, 1 / 5, 2.0, 2 / 5, 2.0, 1.0]
+    assert found[9] == 1 / 5 and found[10] == 1 / 26 and found[11] == 0
+    assert found[13] == 2 / 5 and found[14] == 0 and found[15] == math.log1p(5)
+    disguised = features("such a m0r0n", {"moron": 1.5})
+    assert disguised[0] == 0 and disguised[6] == 1
+    assert features("", {"idiot": 2.0})[:8] == [0.0] * 8
+
+
 def test_toxicity_measures_the_distance_in_long_texts():
     # 200 insults, 20,000 other words, 200 words of the second person.
     far = features("idiot " * 200 + "word " * 20_000 + "you " * 200, {"idiot": 1.0})
@@ -326,6 +372,10 @@ def test_pipeline_stages_decide_by_row(spark, tmp_path):
     spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     build = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = lambda df: sorted(map(str, rows_of(df)))
+    # Columns named like those that a stage works with keep their values.
+    clash = [(1, base_text := prose(404, 40), "mine", "a", "b"), (2, base_text, "yours", "c", "d")]
+    clash = spark.createDataFrame(clash, "doc_id bigint, text string, own_text string, kept_id string, _row_key string")
+    assert rows_of(corpus_pipeline.drop_copies(spark, clash, str(tmp_path))) == [(1, base_text, "mine", "a", "b")]
     base, other, bad = prose(400, 40), prose(401, 40), prose(402, 40) + " you awful idiot"
     rows = [(None, base), (None, bad), (901, other), (901, bad)]
     found = corpus_pipeline.drop_toxic(spark, build(texts + rows), str(tmp_path))
