@@ -28,9 +28,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows whose key is in ``kept``, with their own columns."""
     kept = kept.select(F.col(f"{KEY}.id").alias("kept_id"), F.col(f"{KEY}.text").alias("kept_text")).distinct()
-    digest = F.unhex(F.sha2(docs["text"], 256))
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & digest.eqNullSafe(kept["kept_text"])
-    return docs.join(kept, same, "left_semi")
+    digest = "_digest"
+    while digest in {c.lower() for c in docs.columns}:
+        digest = f"_{digest}"
+    keyed = docs.withColumn(digest, F.unhex(F.sha2("text", 256)))
+    same = keyed["doc_id"].eqNullSafe(kept["kept_id"]) & keyed[digest].eqNullSafe(kept["kept_text"])
+    return keyed.join(kept, same, "left_semi").drop(digest)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
