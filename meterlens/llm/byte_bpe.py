@@ -17,7 +17,7 @@ from meterlens.llm.common import documents, map_batches
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS = 50_000  # words in one recursive query
-LONG_WORD = 1_000  # bytes; longer ones have a query of their own that keeps one state
+LONG_WORD = 1_000  # bytes; longer ones have a query of their own that keeps one state a position
 CACHE_WORDS = 500_000  # words whose ids a worker keeps; then it starts anew
 CHUNK_CHARS = 4_000_000  # of the texts handled at once inside a batch
 
@@ -49,26 +49,44 @@ with recursive state(done, word, pos, token, next_pos, next_token) as (
 select word, token from state where done order by word, pos
 """
 
-# The same for few long words: rows replace the row of their position (-1: gone), so that
-# memory follows the length and not its square.
+# The same for one long word. Rows replace the row of their position (-1: gone), so that
+# memory follows the length. A step takes all pairs of the smallest rank from the left, of
+# overlapping ones every other, up to the first whose token makes a pair of a smaller rank
+# with a neighbour: one by one, that pair would be next. So steps follow the ranks that a
+# word uses, not its length.
 CONTRACT_LONG = """
-with recursive state(word, pos, token) using key (word, pos) as (
-  select word, pos, token from start
+with recursive state(pos, token) using key (pos) as (
+  select pos, token from start
   union
-  select p.word, p.pos, case when p.pos = b.pos then b.merged else -1 end
-  from recurring.state p
-  join (
-    select word, min(merged) as merged, arg_min(pos, (merged, pos)) as pos,
-      arg_min(next_pos, (merged, pos)) as gone
-    from (
-      select word, pos, token,
-        lead(token) over (partition by word order by pos) as next_token,
-        lead(pos) over (partition by word order by pos) as next_pos
-      from recurring.state
-      where token >= 0 and word in (select word from state))
-    join merges on token = a and next_token = b
-    group by word) b on p.word = b.word and p.pos in (b.pos, b.gone))
-select word, token from state where token >= 0 order by word, pos
+  (with line as (
+    select pos, token, lead(pos) over w as gone, lead(token) over w as next_token,
+      lead(token, 2) over w as after_token, lag(token) over w as before_token,
+      row_number() over w as place
+    from recurring.state where token >= 0 window w as (order by pos)),
+  pairs as (
+    select pos, gone, place, before_token, after_token, merged
+    from line join merges on token = a and next_token = b),
+  least as (
+    select *, place - row_number() over (order by place) as run
+    from pairs where merged = (select min(merged) from pairs)),
+  taken as (
+    select * from least qualify row_number() over (partition by run order by place) % 2 = 1),
+  beside as (
+    select pos, gone, merged, after_token,
+      case when lag(place) over (order by place) = place - 2 then merged else before_token
+      end as before_token
+    from taken),
+  judged as (
+    select t.pos, t.gone, t.merged,
+      coalesce(x.merged < t.merged, false) or coalesce(y.merged < t.merged, false) as breaks
+    from beside t
+    left join merges x on x.a = t.before_token and x.b = t.merged
+    left join merges y on y.a = t.merged and y.b = t.after_token),
+  joined as (
+    select * from judged
+    where pos <= (select coalesce(min(pos) filter (where breaks), max(pos)) from judged))
+  select pos, merged from joined union all select gone, -1 from joined))
+select 0 as word, token from state where token >= 0 order by pos
 """
 
 # Text bytes in hexadecimal, put together in the order of the positions.

@@ -342,6 +342,26 @@ def test_byte_bpe(docs, empty):
     assert rows_of(byte_bpe.decode(byte_bpe.encode(empty))) == []
 
 
+def test_byte_bpe_long_words(monkeypatch):
+    path = public_tokenizers.path(byte_bpe.RANKS)
+    ranks, own = byte_bpe.read_ranks(path), byte_bpe.Bpe(path)
+    model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw, letters = random.Random(5), "abcdefghijklmnopqrstuvwxyz"
+    pieces = sorted(t.decode() for t in ranks if t.isalpha() and t.isascii())
+
+    def check(texts):
+        expected = [np.array(model.encode_ordinary(t), "<u4").tobytes() for t in texts]
+        assert own.encode(texts) == expected
+
+    # Runs of one letter, letters at random, known pieces side by side, a word of 20,000.
+    check(["a" * 3001, "".join(draw.choices(letters, k=4000)), "".join(draw.choices(pieces, k=300))])
+    check(["".join(draw.choices("ACGT", k=20_000))])
+    monkeypatch.setattr(byte_bpe, "LONG_WORD", 3)
+    kinds = [letters, "ab", "aeinst", " \n", "-=", "éüа的"]
+    check(["".join(draw.choices(draw.choice(kinds), k=draw.randint(4, 60))) for _ in range(200)])
+    check(["".join(draw.choices(pieces, k=draw.randint(2, 8))) for _ in range(200)])
+
+
 def test_token_counts(docs, empty):
     model = token_counts.Unigram(public_tokenizers.path(token_counts.PIECES))
 
