@@ -25,12 +25,11 @@ def read_saved_pages(spark: SparkSession, folder: str) -> DataFrame:
     return saved.select("endpoint", F.col("page_no").cast("bigint").alias("page_no"), "payload")
 
 
-def page_entries(pages: DataFrame) -> DataFrame:
-    """One row per record of every page, and one for a page without any.
+def _sized(pages: DataFrame) -> DataFrame:
+    """Pages with their list of records as one text (``listed``) and its length.
 
     ``size`` is the number of records of the page, null where it cannot be read. An empty
-    object, ``null`` and a ``results`` without a value are empty pages. ``record`` is the
-    record as a variant if it is an object; anything else stands in ``other`` as text.
+    object, ``null`` and a ``results`` without a value are empty pages.
     """
     wrapped = F.get_json_object("payload", "$.results")
     bare = F.when(F.ltrim("payload").startswith("["), F.col("payload"))
@@ -38,14 +37,25 @@ def page_entries(pages: DataFrame) -> DataFrame:
         wrapped.isNull() & F.array_contains(F.json_object_keys("payload"), "results")
     )
     listed = F.coalesce(wrapped, bare, F.when(bodiless, F.lit("[]")))
+    return pages.select("endpoint", "page_no", listed.alias("listed")).select(
+        "endpoint", "page_no", F.json_array_length("listed").alias("size"), "listed"
+    )
+
+
+def _entries(sized: DataFrame) -> DataFrame:
+    """One row per record of every page, and one for a page without any.
+
+    The size stands in the page's row before the list is taken apart: worked out beside the
+    records it would read the whole page once for each of them. ``record`` is the record as
+    a variant if it is an object; anything else stands in ``other`` as text.
+    """
     # Parsed before the list is taken apart, so that no later column parses once more.
     entries = F.transform(
-        F.from_json(listed, "array<string>"),
+        F.from_json("listed", "array<string>"),
         lambda text: F.struct(text.alias("text"), F.try_parse_json(text).alias("parsed")),
     )
-    parsed = pages.select(
-        "endpoint", "page_no", F.json_array_length(listed).alias("size"),
-        F.posexplode_outer(entries).alias("position", "_entry"),
+    parsed = sized.select(
+        "endpoint", "page_no", "size", F.posexplode_outer(entries).alias("position", "_entry")
     ).select("endpoint", "page_no", "size", "position", "_entry.*")
     is_object = F.try_variant_get("parsed", "$", OBJECT).isNotNull()
     # A null in the list has no text, but it has a position.
@@ -56,33 +66,39 @@ def page_entries(pages: DataFrame) -> DataFrame:
     )
 
 
-def _served(entries: DataFrame, page_size: int) -> DataFrame:
-    """Entries up to and including each endpoint's first short page.
+def _served(paged: DataFrame, page_size: int) -> DataFrame:
+    """Pages or entries up to and including each endpoint's first short page.
 
     An empty page is a short page. A missing or unreadable one ends nothing: saved pages
-    behind it are kept. The last page numbers are one row per endpoint.
+    behind it are kept. The last page numbers are broadcast, one short row per endpoint: by
+    a shuffle, all pages of an endpoint would meet in one task.
     """
-    last = entries.where(F.col("size") < page_size).groupBy("endpoint").agg(
+    last = paged.where(F.col("size") < page_size).groupBy("endpoint").agg(
         F.min("page_no").alias("_last")
     )
-    joined = entries.alias("e").join(
-        last.alias("l"), F.col("e.endpoint").eqNullSafe(F.col("l.endpoint")), "left"
+    joined = paged.alias("e").join(
+        F.broadcast(last.alias("l")), F.col("e.endpoint").eqNullSafe(F.col("l.endpoint")), "left"
     )
     kept = joined.where(F.col("_last").isNull() | (F.col("page_no") <= F.col("_last")))
     return kept.select("e.*")
 
 
+def page_entries(pages: DataFrame, page_size: int) -> DataFrame:
+    """The entries of the served pages; pages that are not served are not parsed."""
+    return _entries(_served(_sized(pages), page_size))
+
+
 def page_records(pages: DataFrame, page_size: int = fixed.PAGE_SIZE) -> DataFrame:
     """One JSON text per record of the served pages, also of records that are no objects."""
     text = F.coalesce(F.to_json("record"), "other").alias("record")
-    served = _served(page_entries(pages), page_size).where(F.col("position").isNotNull())
+    served = page_entries(pages, page_size).where(F.col("position").isNotNull())
     return served.select("endpoint", "page_no", text)
 
 
 def left_out(pages: DataFrame, page_size: int = fixed.PAGE_SIZE) -> DataFrame:
     """What an export of the pages cannot take: unreadable pages and records that are no
     objects, one row each (endpoint, page_no, position, reason, text)."""
-    served = _served(page_entries(pages), page_size)
+    served = page_entries(pages, page_size)
     unreadable = F.col("size").isNull()
     return served.where(unreadable | F.col("other").isNotNull()).select(
         "endpoint", "page_no", "position",
@@ -150,7 +166,7 @@ def flatten_pages(
     None if no record is an object; ``left_out`` lists what is not part of the result. The
     columns come from the merged schema, so objects keyed by ids make a wide result.
     """
-    records = _served(page_entries(pages.where(F.col("endpoint") == endpoint)), page_size)
+    records = page_entries(pages.where(F.col("endpoint") == endpoint), page_size)
     records = records.where(F.col("record").isNotNull()).select("record")
     schema = _as_struct(records.agg(_merged_schema()).first()[0])
     return None if schema is None else _flattened(records, schema)
@@ -179,8 +195,8 @@ def export_endpoints(
 ) -> DataFrame:
     """Write every endpoint's records as CSV and say what was written.
 
-    Payloads are read and parsed once: their records are kept as variants in a work table
-    partitioned by endpoint. One aggregate finds all schemas and counts, and each endpoint
+    Payloads are read and parsed once: the records of the served pages are kept as variants
+    in a work table partitioned by endpoint. One aggregate finds all schemas and counts, and each endpoint
     is flattened from its own partition. The summary has a row per endpoint: pages read,
     records written, records skipped because they are no objects, unreadable pages, and
     the data set's name (null if nothing was written). Endpoints whose names lead to the
@@ -189,11 +205,10 @@ def export_endpoints(
     spark = pages.sparkSession.newSession()
     spark.conf.set("spark.sql.caseSensitive", "true")
     staged = work_folder(pages.sparkSession, "endpoint-records")
-    page_entries(pages).write.partitionBy("endpoint").parquet(staged)
-    entries = spark.read.schema(
+    page_entries(pages, page_size).write.partitionBy("endpoint").parquet(staged)
+    served = spark.read.schema(
         "page_no bigint, size int, position int, record variant, other string, endpoint string"
     ).parquet(staged)
-    served = _served(entries, page_size)
     first = F.coalesce("position", F.lit(0)) == 0  # one of each page
     found = (
         served.groupBy("endpoint")
@@ -216,7 +231,7 @@ def export_endpoints(
             while name in taken:
                 name = f"{plain.removesuffix('.csv')}-{len(taken)}.csv"
             taken.add(name)
-            records = _served(entries.where(own), page_size).where(F.col("record").isNotNull())
+            records = served.where(own).where(F.col("record").isNotNull())
             flat = _flattened(records, schema)
             flat.write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/{name}")
         summary.append((row.endpoint, row.pages, row.records, row.skipped, row.unreadable, name))

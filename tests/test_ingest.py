@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from meterlens.plans import ingest
 from meterlens.sources import pages
@@ -191,6 +191,19 @@ def test_saved_pages_are_read_whole(spark, frame, tmp_path):
     assert rows(pages.flatten_pages(saved, "u", 2), "i") == [(1,), (2,), (3,)]
 
 
+def test_a_page_is_measured_once_and_not_beside_each_record(spark, frame, tmp_path):
+    df = frame(PAGES, ("a", 0, '[{"i":1},{"i":2}]'), ("a", 1, "[5]"), ("a", 2, "[6]"), ("b", 0, "x"))
+    df.write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    for found in (pages.left_out(df, 2), pages.page_records(df, 2)):
+        above, exploded, below = plan(found).partition("Generate posexplode")
+        assert exploded and "lengthOfJsonArray" not in above
+        assert "lengthOfJsonArray" in below and "BroadcastHashJoin" in below  # served pages only
+    assert sorted(rows(pages.left_out(df, 2).select("endpoint", "page_no", "text"))) == [
+        ("a", 1, "5"), ("b", 0, None)
+    ]
+
+
 def test_field_names_that_look_like_types_stay(frame):
     df = frame(PAGES, ("a", 0, '[{"VARIANT_ID":5,"AVOIDED":"x","OBJECT":null,"in":{"VOID":[null]}}]'))
     flat = pages.flatten_pages(df, "a")
