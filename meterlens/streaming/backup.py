@@ -57,15 +57,18 @@ def _write_batch(
 ) -> None:
     """One batch of the backup: its rows, then the counts of what was written.
 
-    The batch is read once. Counts come from the copy, so the two cannot disagree, and both
-    stand under the batch's number: writing it again replaces them.
+    The batch is read once. The writer sorts by period; the rebalance splits large batches and
+    periods, so that a task sorts no more than about the advisory partition size. Counts come
+    from the copy, so the two cannot disagree, and both stand under the batch's number:
+    writing it again replaces them.
     """
     spark, period, copy = batch.sparkSession, UNITS[unit], f"{dest}/copy"
     days, counts = _versions(spark, dest)
     before = days.read(number)
     dated = with_period(batch, column, unit).withColumn("_batch", F.lit(number).cast("bigint"))
     (
-        dated.write.mode("overwrite")
+        dated.hint("rebalance", period)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(period, "_batch")
         .parquet(copy)
