@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.functions import fixed_values as fixed
 from meterlens.functions.dates import last_days, moment, to_day
 from meterlens.operators.arrays import explode_once
+from meterlens.operators.joins import spread_by
 from meterlens.plans.query_log import credits_per_query
 
 TABLE_KEY = ["table_catalog", "table_schema", "table_name"]
@@ -185,27 +186,28 @@ def _cost_per_object(
     as_of: dt.date | str | None, days: int,
 ) -> DataFrame:
     """Credits and uses per table, warehouse and user: each query's credits split evenly over
-    the distinct tables it reads."""
+    the distinct tables it reads.
+
+    The tables of a query are counted and joined in partitions of a bounded number of
+    queries, so a task's memory does not grow with the logs.
+    """
     if as_of is not None:
         access = access.where(last_days("query_start_time", as_of, days))
         query_history = query_history.where(last_days("start_time", as_of, days))
         attribution = attribution.where(last_days("start_time", as_of, days))
     objects = accessed_objects(access, "query_id")
     objects = objects.where(F.col("query_id").isNotNull() & F.col("table_name").isNotNull())
-    objects = objects.distinct()
-    spread = objects.groupBy("query_id").agg(F.count(F.lit(1)).alias("_objects"))
+    objects = spread_by(objects.distinct(), "query_id", query_history.count())
+    of_query = F.count(F.lit(1)).over(Window.partitionBy("query_id"))
     share = F.round(F.col("credits").cast("double") / F.col("_objects"), 8)
-    queries = (
-        query_history.select("query_id", "warehouse_name", "user_name")
-        .join(credits_per_query(attribution), "query_id")
-        .join(spread, "query_id")
-        .select(
-            "query_id", "warehouse_name", "user_name", share.cast("decimal(28,8)").alias("_share")
-        )
+    queries = query_history.select("query_id", "warehouse_name", "user_name").join(
+        credits_per_query(attribution), "query_id"
     )
     keys = ["warehouse_name", "user_name"]
     per_object = (
-        objects.join(queries, "query_id")
+        objects.withColumn("_objects", of_query)
+        .join(queries, "query_id")
+        .withColumn("_share", share.cast("decimal(28,8)"))
         .groupBy(*[F.col(c).alias(name) for c, name in zip(TABLE_KEY, OBJECT_KEY)], *keys)
         .agg(F.sum("_share").alias("_share"), F.count(F.lit(1)).alias("_uses"))
     )
