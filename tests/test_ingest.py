@@ -6,6 +6,7 @@ from conftest import plan, rows
 from meterlens.plans import ingest
 from meterlens.sources import pages
 from meterlens.sources.dated import newest_value, partition_days
+from meterlens.streaming.backup import stream_backup
 
 STARTED = dt.datetime(1998, 7, 1, 6, 0, 0)
 
@@ -247,3 +248,17 @@ def test_export_of_all_endpoints(spark, frame, tmp_path):
     )
     text = sorted(line for f in (tmp_path / "v1_a.csv").glob("part*") for line in f.read_text().split())
     assert text[0] == ',,"x,y"' and text[1] == "2,1," and set(text[2:]) == {"K,k,n.m"}
+
+
+def test_a_batch_of_one_file_is_written_by_several_tasks(spark, frame, tmp_path, at):
+    days = [(i, at(f"1998-{i:02d}-05 06:00:00")) for i in range(1, 13)]
+    frame("i int, t timestamp_ntz", *days).coalesce(1).write.parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stream = spark.readStream.schema("i int, t timestamp_ntz").parquet(str(tmp_path / "in"))
+        run = stream_backup(stream, str(tmp_path / "out"), "t", unit="month")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    copied = list((tmp_path / "out" / "copy").glob("_month=*/_batch=0/part-*.parquet"))
+    assert len(copied) == 12 and len({f.name.split("-")[1] for f in copied}) > 1
+    assert rows(spark.read.parquet(run.copy).select("i", "t"), "i") == days
