@@ -6,6 +6,7 @@ import pytest
 from conftest import plan
 
 import registry
+from meterlens.plans import operator_metrics
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = registry.all_queries()
@@ -49,3 +50,21 @@ def test_date_range_is_pushed_to_the_scan(spark, name, column):
 def test_groups_combine_before_the_shuffle(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "partial_" in text
+
+
+def test_slow_queries_filter_the_operator_log_below_its_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("m03_spill_counts", "m04_spill_queries", "m09_operator_metric_summary"):
+            text = plan(QUERIES[name](spark, FOLDER))
+            assert re.search(r"Filter [^\n]*array_contains\(Subquery[^\n]*l_orderkey", text)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_more_slow_queries_than_a_list_holds(spark, monkeypatch):
+    listed = QUERIES["m09_operator_metric_summary"](spark, FOLDER).collect()
+    monkeypatch.setattr(operator_metrics, "LISTED_IDS", 0)
+    joined = QUERIES["m09_operator_metric_summary"](spark, FOLDER)
+    assert "array_contains" not in plan(joined) and listed
+    assert sorted(map(tuple, listed)) == sorted(map(tuple, joined.collect()))
