@@ -6,6 +6,7 @@ import pytest
 from conftest import plan
 
 import registry
+from meterlens.operators.joins import KEYS_PER_PARTITION, spread_by
 from meterlens.plans import operator_metrics
 
 FOLDER = "/root/testdata/sf0.001"
@@ -68,3 +69,17 @@ def test_more_slow_queries_than_a_list_holds(spark, monkeypatch):
     joined = QUERIES["m09_operator_metric_summary"](spark, FOLDER)
     assert "array_contains" not in plan(joined) and listed
     assert sorted(map(tuple, listed)) == sorted(map(tuple, joined.collect()))
+
+
+@pytest.mark.parametrize("name", ["g07_cost_by_tag_all", "g07_cost_by_inherited_tag"])
+def test_tables_of_queries_meet_in_a_given_number_of_partitions(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert re.search(r"hashpartitioning\(query_id[^\n]*REPARTITION_BY_NUM", text)
+
+
+def test_partitions_grow_with_the_keys(spark):
+    keys = spark.range(10).withColumnRenamed("id", "k")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spread_by(keys, "k", 10).rdd.getNumPartitions() == least
+    many = (least + 3) * KEYS_PER_PARTITION
+    assert spread_by(keys, "k", many).rdd.getNumPartitions() == least + 3
