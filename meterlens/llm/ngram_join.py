@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterlens.llm.common import documents, map_batches, stored
 from meterlens.llm.components import connected_components
+from meterlens.llm.words import WordHasher, combined, mixed, slices
 
 WORDS = 5
 THRESHOLD = 80  # per cent: linked when 100 * intersection >= 80 * union
@@ -17,62 +18,40 @@ BAND = 1.6  # sizes of a band lie within this ratio
 SPARE = 1.2  # segments per needed one, so that poor ones can be left out
 DELETION_SIZE = 128  # bands up to this start index one-deletion neighbours
 SAMPLE_DOCS, FREQUENT = 20_000, 200_000  # bounds of the sample for costs and of its result
-CACHE_WORDS = 150_000
+LONG_WORD = 128  # bytes; longer words have a hash of their own
+TEXT_BYTES, DEALT_SHINGLES = 1 << 21, 1 << 17  # worked on at once
 BITMAP_WORDS = 16  # 64-bit words of the parity bitmap
 
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
 
 class Shingler:
     """Shingle sets of texts as sorted distinct 64-bit hashes."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.known = words, {}
-        power = np.uint64(0x9E3779B97F4A7C15)
-        self.powers = [power]
-        with np.errstate(over="ignore"):
-            for _ in range(words):
-                self.powers.append(self.powers[-1] * power)
-
-    def _hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-    def sets(self, texts: list[str | None]):
-        """The set of each text; a text of fewer words than a shingle has one for all."""
-        words = [(t or "").encode().lower().split() for t in texts]
-        hashes = self._hashes([w for text in words for w in text])
-        with np.errstate(over="ignore"):
-            n = max(len(hashes) - self.words + 1, 0)
-            grams = np.zeros(n, np.uint64)
-            for i in range(self.words):
-                grams += mix(hashes[i : i + n] + self.powers[i]) * self.powers[i + 1]
-            grams = mix(grams)
-            start = 0
-            for text in words:
-                size = len(text)
-                if size >= self.words:
-                    yield np.unique(grams[start : start + size - self.words + 1])
-                elif size:
-                    own = hashes[start : start + size]
-                    whole = np.uint64(size)
-                    for h in own:
-                        whole = mix(whole * self.powers[0] + h)
-                    yield np.array([whole])
-                else:
-                    yield np.zeros(0, np.uint64)
-                start += size
+        self.words, self.hasher = words, WordHasher(b" \t\n\x0b\x0c\r", fold=True)
+
+    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The set of each text; a text of fewer words than a shingle has one for all.
+
+        The words of all texts are hashed together. A polynomial in the bytes tells short
+        words apart; of longer ones some are built to meet.
+        """
+        data = b" ".join(texts)
+        hashes, starts, ends = self.hasher(data)
+        for i in np.flatnonzero(ends - starts > LONG_WORD):
+            hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].lower())
+        grams = combined(hashes, self.words)
+        stops = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+        sets, start = [], 0
+        for stop in stops.tolist():
+            size = stop - start
+            if size >= self.words:
+                sets.append(np.unique(grams[start : stop - self.words + 1]))
+            elif size:
+                sets.append(mixed(combined(hashes[start:stop], size) + np.uint64(size)))
+            else:
+                sets.append(np.zeros(0, np.uint64))
+            start = stop
+        return sets
 
 
 def band_of(size: int) -> int:
@@ -107,35 +86,9 @@ def bands_indexed(size: int) -> list[int]:
     return [band, band - 1] if below else [band]
 
 
-class Partition:
-    """A set dealt over the segments of a band."""
-
-    def __init__(self, grams: np.ndarray, band: int):
-        self.m = segments(band)
-        self.salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-        part = (mix(grams ^ self.salt) >> np.uint64(20)) % np.uint64(self.m)
-        order = np.argsort(part, kind="stable")
-        self.grams, self.part = grams[order], part[order].astype(np.int64)
-        self.own = mix(self.grams + self.salt)
-        self.sizes = np.bincount(self.part, minlength=self.m)
-        ends = np.cumsum(self.sizes)
-        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.own)])
-        self.sums = running[ends] - running[ends - self.sizes]
-
-    def keys(self) -> np.ndarray:
-        """A key for each segment: hash of band, segment number and content."""
-        number = mix(np.arange(self.m, dtype=np.uint64) + self.salt * np.uint64(3))
-        return mix(self.sums + number)
-
-    def deletion_keys(self) -> np.ndarray:
-        """For each shingle the key of its segment without it."""
-        number = mix(self.part.astype(np.uint64) + self.salt * np.uint64(3))
-        return mix(self.sums[self.part] - self.own + number)
-
-
-def allocation(sizes: np.ndarray, rare: np.ndarray, need: int) -> np.ndarray:
-    """Weight of each segment: 0 not probed, 1 probed for equality, 2 probed with its
-    one-deletion neighbours.
+def allocation(sizes: np.ndarray, rare: np.ndarray, need: np.ndarray, small: bool) -> np.ndarray:
+    """Weight of each segment (columns) of sets (rows): 0 not probed, 1 probed for equality,
+    2 probed with its one-deletion neighbours (``small`` bands only).
 
     If two sets differ in fewer than ``need`` shingles and the weights add up to
     ``need``, some segment differs in fewer shingles than its weight. A probe costs as
@@ -145,56 +98,92 @@ def allocation(sizes: np.ndarray, rare: np.ndarray, need: int) -> np.ndarray:
     an empty one, the richest segments get weight 2, a probe per shingle in them.
     """
     order = np.lexsort((-sizes, -np.minimum(rare, 2)))
-    weights = np.zeros(len(sizes), np.int8)
-    weights[order[:need]] = 1
-    empty = (weights == 1) & (sizes == 0)
-    missing = int(empty.sum()) + max(0, need - len(sizes))
-    if missing:
-        rich = order[:need][sizes[order[:need]] > 1][:missing]
-        weights[rich] = 2
-        spared = np.flatnonzero(empty)[: len(rich)]
-        weights[spared] = 0
+    taken = np.arange(sizes.shape[1]) < need[:, None]
+    weights = np.zeros(sizes.shape, np.int8)
+    chosen = taken.astype(np.int8)
+    if small:
+        held = np.take_along_axis(sizes, order, 1)
+        missing = (taken & (held == 0)).sum(1) + np.maximum(0, need - sizes.shape[1])
+        rich = taken & (held > 1)
+        rich &= np.cumsum(rich, 1) <= missing[:, None]
+        chosen[rich] = 2
+    np.put_along_axis(weights, order, chosen, 1)
+    if small:
+        empty = (weights == 1) & (sizes == 0)
+        weights[empty & (np.cumsum(empty, 1) <= rich.sum(1)[:, None])] = 0
     return weights
 
 
-def set_keys(grams: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set and whether each is a probe; every key is in the index.
+def _band_keys(sets: list[np.ndarray], band: int, own: np.ndarray, frequent: np.ndarray):
+    """Keys of sets in a band, the number of the set of each and whether it is a probe; sets
+    that are not the band's ``own`` are only indexed.
+
+    A set is dealt over the segments of the band. A segment's key hashes band, segment
+    number and content; a one-deletion key is that of a segment without one shingle.
+    """
+    m, small = segments(band), band_start(band) <= DELETION_SIZE
+    salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    number = mixed(np.arange(m, dtype=np.uint64) + salt * np.array([3], np.uint64))
+    lengths = np.array([len(g) for g in sets])
+    grams, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
+    part = ((mixed(grams ^ salt) >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
+    cell, values = owner * m + part, mixed(grams + salt)
+    sums = np.zeros(len(sets) * m, np.uint64)
+    np.add.at(sums, cell, values)
+    keys = mixed(sums.reshape(-1, m) + number)
+
+    weights = np.zeros(keys.shape, np.int8)
+    if own.any():
+        sizes = np.bincount(cell, minlength=len(sums)).reshape(keys.shape)
+        rare = sizes
+        if len(frequent):
+            known = frequent[np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)] == grams
+            rare = np.bincount(cell[~known], minlength=len(sums)).reshape(keys.shape)
+        need = np.array([allowed(n) + 1 for n in lengths[own].tolist()])
+        weights[own] = allocation(sizes[own], rare[own], need, small)
+    numbers, probes = np.repeat(np.arange(len(sets)), m), (weights > 0).ravel()
+    if not small:
+        return keys.ravel(), numbers, probes
+    deletions = mixed(sums[cell] - values + number[part])
+    return (
+        np.concatenate([keys.ravel(), deletions]), np.concatenate([numbers, owner]),
+        np.concatenate([probes, weights.ravel()[cell] == 2]),
+    )
+
+
+def set_keys(sets: list[np.ndarray], frequent: np.ndarray):
+    """Batches of keys of sets that aren't empty, the number of the set of each key and
+    whether it is a probe; every key is in the index.
 
     One-deletion neighbours are in the index of the bands up to ``DELETION_SIZE``. In
     larger bands spare segments outnumber the empty ones, and the rare set for which they
-    don't probes empty segments as well: more candidates, none lost.
+    don't probes empty segments as well: more candidates, none lost. The sets of a band
+    are dealt together, some ``DEALT_SHINGLES`` at once.
     """
-    size, keys, probes = len(grams), [], []
-    for band in bands_indexed(size):
-        part = Partition(grams, band)
-        own, small = part.keys(), band_start(band) <= DELETION_SIZE
-        weights = np.zeros(part.m, np.int8)
-        if band == band_of(size):
-            at = np.minimum(np.searchsorted(frequent, part.grams), len(frequent) - 1)
-            known = frequent[at] == part.grams if len(frequent) else np.zeros(size, bool)
-            rare = np.bincount(part.part[~known], minlength=part.m)
-            need = allowed(size) + 1
-            if small:
-                weights = allocation(part.sizes, rare, need)
-            else:
-                order = np.lexsort((-part.sizes, -np.minimum(rare, 2)))
-                weights[order[:need]] = 1
-        keys.append(own)
-        probes.append(weights > 0)
-        if small:
-            keys.append(part.deletion_keys())
-            probes.append(weights[part.part] == 2)
-    return np.concatenate(keys), np.concatenate(probes)
+    members: dict[int, list[int]] = {}
+    for i, grams in enumerate(sets):
+        for band in bands_indexed(len(grams)):
+            members.setdefault(band, []).append(i)
+    for band, numbers in members.items():
+        held = np.cumsum([len(sets[i]) for i in numbers]) // DEALT_SHINGLES
+        for group in np.split(np.array(numbers), np.flatnonzero(np.diff(held)) + 1):
+            own = np.array([band_of(len(sets[i])) == band for i in group])
+            keys, owner, probes = _band_keys([sets[i] for i in group], band, own, frequent)
+            yield keys, group[owner], probes
 
 
 def parity(grams: np.ndarray) -> np.ndarray:
     """Bitmap of hashed shingle parities: two sets differ in at least as many shingles as
     their bitmaps do in bits."""
-    bits = mix(grams) & np.uint64(64 * BITMAP_WORDS - 1)
+    bits = mixed(grams) & np.uint64(64 * BITMAP_WORDS - 1)
     odd = (np.bincount(bits.astype(np.int64), minlength=64 * BITMAP_WORDS) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def _node(grams: np.ndarray) -> int | None:
+    return xxhash.xxh3_64_intdigest(grams.tobytes()) - 2**63 if len(grams) else None
+
+
 def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (id, text_key, n, node, bits): a hash of the text, set size, 64-bit hash of the set
     (null if empty), bitmap."""
@@ -202,20 +191,16 @@ def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         shingler = Shingler()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                n, node, bits = [], [], []
-                for grams in shingler.sets(texts[at : at + 500]):
-                    n.append(len(grams))
-                    node.append(np.int64(xxhash.xxh3_64_intdigest(grams.tobytes()) - 2**63) if len(grams) else None)
-                    bits.append(parity(grams))
+            for at, texts in slices(batch, 1, TEXT_BYTES):
+                sets = shingler.sets(texts)
+                n = [len(grams) for grams in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(n)),
                         batch.column(2).slice(at, len(n)),
                         pa.array(n, pa.int64()),
-                        pa.array(node, pa.int64()),
-                        pa.array(bits, pa.list_(pa.int64())),
+                        pa.array(map(_node, sets), pa.int64()),
+                        pa.array(list(map(parity, sets)), pa.list_(pa.int64())),
                     ],
                     names=["id", "text_key", "n", "node", "bits"],
                 )
@@ -232,9 +217,8 @@ def _frequent(docs: DataFrame, text_col: str, total: int) -> np.ndarray:
     def run(batches):
         shingler = Shingler()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 500):
-                grams = np.concatenate([np.zeros(0, np.uint64), *shingler.sets(texts[at : at + 500])])
+            for _, texts in slices(batch, 0, TEXT_BYTES):
+                grams = np.concatenate(shingler.sets(texts))
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], names=["gram"])
 
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
@@ -248,30 +232,25 @@ def _frequent(docs: DataFrame, text_col: str, total: int) -> np.ndarray:
     return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
 
+def _unseen(sets: list[np.ndarray], seen: set[int]) -> tuple[list[int], list[np.ndarray]]:
+    """The nodes not ``seen`` before, and their sets; empty sets are none."""
+    new = {node: grams for node, grams in zip(map(_node, sets), sets) if node is not None and node not in seen}
+    seen.update(new)
+    return list(new), list(new.values())
+
+
 def _keyed(docs: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
     """Rows (key, node, probe), once per distinct set of a task."""
 
     def run(batches):
         shingler, seen = Shingler(), set()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 500):
-                keys, nodes, probes = [], [], []
-                for grams in shingler.sets(texts[at : at + 500]):
-                    node = xxhash.xxh3_64_intdigest(grams.tobytes()) - 2**63
-                    if len(grams) and node not in seen:
-                        seen.add(node)
-                        own, probe = set_keys(grams, frequent)
-                        keys.append(own)
-                        probes.append(probe)
-                        nodes.append(np.full(len(own), node, np.int64))
-                if keys:
+            for _, texts in slices(batch, 0, TEXT_BYTES):
+                nodes, sets = _unseen(shingler.sets(texts), seen)
+                names = np.array(nodes, np.int64)
+                for keys, numbers, probes in set_keys(sets, frequent):
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate(keys).view(np.int64)),
-                            pa.array(np.concatenate(nodes)),
-                            pa.array(np.concatenate(probes)),
-                        ],
+                        [pa.array(keys.view(np.int64)), pa.array(names[numbers]), pa.array(probes)],
                         names=["key", "node", "probe"],
                     )
 
@@ -293,17 +272,10 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame, described: DataFram
     def run(batches):
         shingler, seen = Shingler(), set()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 500):
-                nodes, sets = [], []
-                for grams in shingler.sets(texts[at : at + 500]):
-                    node = xxhash.xxh3_64_intdigest(grams.tobytes()) - 2**63
-                    if len(grams) and node not in seen:
-                        seen.add(node)
-                        nodes.append(node)
-                        sets.append(grams.view(np.int64))
+            for _, texts in slices(batch, 0, TEXT_BYTES):
+                nodes, sets = _unseen(shingler.sets(texts), seen)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                    [pa.array(nodes, pa.int64()), pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64()))],
                     names=["node", "grams"],
                 )
 

@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from meterlens.llm import byte_bpe, kd_shards, packing, secrets, substring_dedup, token_counts
+from meterlens.llm import byte_bpe, kd_shards, ngram_join, packing, secrets, substring_dedup, token_counts
 from meterlens.llm import exact_dedup as dedup_module
 from meterlens.llm import toxicity as toxicity_module
 from meterlens.llm.exact_dedup import exact_dedup
@@ -136,6 +136,54 @@ def test_ngram_links_of_null_ids_are_one_component(spark):
     assert {r.component_id for r in found.collect()} == {7}
 
 
+def test_shingles_without_work_per_word(monkeypatch):
+    """Words are hashed together: only long ones are taken one by one."""
+    calls, digest = [], ngram_join.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(ngram_join.xxhash, "xxh3_64_intdigest", lambda x: calls.append(x) or digest(x))
+    texts = [prose(31, 30_000), "a b\x0bC d\ne F", "A B c D E\tf", "b c d e f", "", " ", "two  Words", "two words",
+             "x" * 300 + " y", "X" * 300 + " Y", "x" * 299 + "z y", "w " * 200_000, "\u00c9 a b c d", "\u00e9 a b c d"]
+    sets = list(ngram_join.Shingler().sets([t.encode() for t in texts]))
+
+    def plain(t):
+        w = t.encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    expected = [plain(t) for t in texts]
+    assert [len(x) for x in sets] == [len(x) for x in expected]
+    for x, a in zip(sets, expected):
+        for y, b in zip(sets, expected):
+            assert len(np.intersect1d(x, y)) == len(a & b)
+    assert len(calls) == 3
+
+
+def test_keys_of_linked_sets_meet():
+    """The keys of many sets are made together, and any two sets that link share a probe."""
+    draw, sets = np.random.default_rng(4), []
+    for size in [1, 2, 3, 4, 5, 8, 9, 20, 33, 100, 127, 128, 129, 300, 1000]:
+        whole = draw.integers(0, 2**63, 2 * size + 2).astype(np.uint64)
+        for _ in range(6):
+            changed = draw.integers(0, size // 9 + 1)
+            added = draw.integers(0, size // 9 + 2)
+            sets.append(np.unique(np.concatenate([whole[changed:size], whole[size + 1 : size + 1 + added]])))
+    sets = [x for x in sets if len(x)]
+    frequent = np.unique(np.concatenate(sets)[::3])
+    keys = [set() for _ in sets]
+    probes = [set() for _ in sets]
+    for own, numbers, probe in ngram_join.set_keys(sets, frequent):
+        for key, i, p in zip(own.tolist(), numbers.tolist(), probe.tolist()):
+            keys[i].add(key)
+            if p:
+                probes[i].add(key)
+    linked = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= 80 * (len(x) + len(y) - both):
+                linked += 1
+                assert (probes[i] & keys[j]) | (probes[j] & keys[i]), (len(x), len(y), both)
+    assert linked > 100
+
+
 def test_repeated_strings_are_removed(docs, empty):
     size = substring_dedup.LENGTH
     seen = {}
