@@ -16,23 +16,52 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from meterlens.llm.common import documents, map_batches, number_rows, stored
+from meterlens.llm.words import WordHasher, slices
 
 SEQUENCE = 2048
-MARKS = ".,;:!?"  # never part of a token with letters
+MARKS = ".,;:!?#$%&*+-=/()[]{}\"_~^@`"  # never part of a token with letters
 END = 0  # id after each document
 TOKENIZER = "word_bpe_49k.json"
 TRIPLE_LENGTHS = 24  # first lengths of the three-document patterns
 SWEEPS = 15  # of coordinate descent
 CACHE_WORDS = 800_000  # words whose ids a worker keeps, in two generations
+CACHE_MARKS = 10_000  # runs of marks whose ids are kept besides
+TEXT_BYTES = 1 << 21  # of text worked on at once
+LETTERS = [c for c in map(chr, range(0x250)) if c.isalpha()]  # none of these joins the next
 
 Pattern = tuple[int, ...]
 
 
+def equal_words(data: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each word of ``data`` the number of one that equals it, mostly the same one for all
+    equal words. Hashes propose it, the bytes decide."""
+    own = np.arange(len(hashes))
+    cells = (hashes & np.uint64((1 << (2 * len(hashes)).bit_length()) - 1)).astype(np.int64)
+    table = np.empty((1 << (2 * len(hashes)).bit_length()), np.int64)
+    table[cells] = own
+    same = table[cells]
+    rest = np.flatnonzero(hashes[same] != hashes)
+    _, first, inverse = np.unique(hashes[rest], return_index=True, return_inverse=True)
+    same[rest] = rest[first][inverse]
+
+    lengths = ends - starts
+    alike = lengths[same] == lengths
+    at = np.flatnonzero(alike & (same != own))
+    size = lengths[at]
+    place = np.arange(size.sum()) + np.repeat(starts[at] - (np.cumsum(size) - size), size)
+    whole = np.frombuffer(data, np.uint8)
+    unlike = whole[place] != whole[place + np.repeat(starts[same[at]] - starts[at], size)]
+    if unlike.any():
+        alike[np.repeat(at, size)[unlike]] = False
+    return np.where(alike, same, own)
+
+
 class WordIds:
     """Ids of texts by way of their words.
 
     The tokenizer drops white space and never merges across it, so a text's ids are
-    those of its words in turn, and each distinct word is encoded once.
+    those of its words in turn. The distinct words of many texts are found together and
+    looked up, and each that isn't known is encoded once.
     """
 
     def __init__(self, path: str):
@@ -40,50 +69,107 @@ class WordIds:
         self.model, self.known = Tokenizer.from_file(path), {}
         self.before: dict[bytes, bytes] = {}  # known words of a generation ago
         self.letters: dict[str, bool] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.marks: dict[str, bytes] = {}
+        self.hasher = WordHasher(b" \t\n\x0b\x0c\r")
+        self.merges = self.model.model
+        self.written = self._written()
+        self.plain = "".join(map(chr, self.written))
+
+    def _written(self) -> dict[int, str]:
+        """Letters that stay one letter, and how the model writes them: any run of these is one
+        word of the model. None where the tokenizer works otherwise."""
+        clean, split = self.model.normalizer, self.model.pre_tokenizer
+        if clean is None or split is None:
+            return {}
+        one = {c: clean.normalize_str(c) for c in LETTERS}
+        written = {c: split.pre_tokenize_str(x)[0][0] for c, x in one.items() if len(x) == 1 and self._apart(c)}
+        run = split.pre_tokenize_str(clean.normalize_str("".join(written)))
+        added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        if [x for x, _ in run] != ["".join(written.values())] or any(not x.strip("".join(written)) for x in added):
+            return {}
+        return {ord(c): x for c, x in written.items()}
+
+    def encode(self, texts: list[str | bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [self._words(t or "") for t in texts]
-        if len(self.known) > CACHE_WORDS // 2:
-            self.known, self.before = {}, self.known
-        known, before = self.known, self.before
-        unseen = [w for w in set().union(*words) if w not in known]
-        known.update((w, before[w]) for w in unseen if w in before)
-        parts = {w: self._parts(w.decode()) for w in unseen if w not in before}
-        self._learn({p for part in parts.values() for p in part if p not in known})
-        for w, part in parts.items():
-            if w not in known:
-                known[w] = b"".join(map(known.__getitem__, part))
-        return [b"".join(map(known.__getitem__, text)) for text in words]
+        coded = [self._lowered(t if isinstance(t, bytes) else (t or "").encode()) for t in texts]
+        data = b" ".join(coded)
+        hashes, starts, ends = self.hasher(data)
+        if not len(hashes):
+            return [b""] * len(texts)
+        same = equal_words(data, hashes, starts, ends)
+        chosen = np.flatnonzero(same == np.arange(len(same)))
+        number = np.zeros(len(same), np.int64)
+        number[chosen] = np.arange(len(chosen))
+        number = number[same]
+        ids = self._ids([data[a:b] for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist())])
+
+        count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, count = (np.cumsum(count) - count)[number], count[number]
+        stops = np.cumsum(count)
+        place = np.arange(stops[-1]) + np.repeat(first - (stops - count), count)
+        whole = np.frombuffer(b"".join(ids), np.uint32)[place].tobytes()
+        words = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in coded]))
+        cuts = 4 * np.concatenate([[0], stops])[np.concatenate([[0], words])]
+        return [whole[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
     @staticmethod
-    def _words(text: str) -> list[bytes]:
-        """Words with A-Z lowered as the tokenizer does, unless special tokens may be there."""
-        coded = text.encode()
-        return (coded if b"<|" in coded else coded.lower()).split()
+    def _lowered(coded: bytes) -> bytes:
+        """A-Z lowered as the tokenizer does, unless special tokens may be there."""
+        return coded if b"<|" in coded else coded.lower()
 
-    def _parts(self, word: str) -> list[bytes]:
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word."""
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        found, waiting = list(map(known.get, words)), {}
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = before.get(word)
+            if ids is None:
+                text = word.decode()
+                stem = text.rstrip(MARKS)
+                if stem.strip(self.plain) or not stem:
+                    waiting[i] = self._parts(text, stem)
+                    continue
+                ids = self._plain_ids(stem)
+                if stem != text:
+                    marks = text[len(stem) :]
+                    if marks not in self.marks:
+                        self._learn([marks], self.marks)
+                    ids += self.marks[marks]
+            found[i] = known[word] = ids
+        coded: dict[str, bytes] = {}
+        self._learn(list({p for parts in waiting.values() for p in parts}), coded)
+        for i, parts in waiting.items():
+            found[i] = known[words[i]] = b"".join(map(coded.__getitem__, parts))
+        if len(self.marks) > CACHE_MARKS:
+            self.marks = {}
+        return found
+
+    def _parts(self, word: str, stem: str) -> list[str]:
         """Letters and the marks after them, which are tokens of their own, or the word."""
-        stem = word.rstrip(MARKS)
         if stem != word and (stem.isascii() and stem.isalpha() or stem and all(map(self._apart, stem))):
-            return [stem.encode(), word[len(stem) :].encode()]
-        return [word.encode()]
+            return [stem, word[len(stem) :]]
+        return [word]
+
+    def _plain_ids(self, letters: str) -> bytes:
+        tokens = self.merges.tokenize(letters.translate(self.written))
+        return array("I", [t.id for t in tokens]).tobytes()
 
     def _apart(self, char: str) -> bool:
         """Whether the tokenizer always parts a character from a mark behind it: what it
         turns some letters into ends with a combining mark, which joins the marks."""
         if char not in self.letters:
             plain = self.model.normalizer.normalize_str(char)
-            pieces = self.model.pre_tokenizer.pre_tokenize_str(plain + MARKS[0])
-            whole = [(0, len(plain)), (len(plain), len(plain) + 1)]
+            pieces = self.model.pre_tokenizer.pre_tokenize_str(plain + MARKS)
+            whole = [(0, len(plain)), (len(plain), len(plain) + len(MARKS))]
             self.letters[char] = char.isalpha() and [span for _, span in pieces] == whole
         return self.letters[char]
 
-    def _learn(self, words: set[bytes]) -> None:
-        part = list(words)
-        coded = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-        for w, c in zip(part, coded, strict=True):
-            self.known[w] = array("I", c.ids).tobytes()
+    def _learn(self, parts: list[str], known: dict[str, bytes]) -> None:
+        coded = self.model.encode_batch_fast(parts, add_special_tokens=False)
+        known.update((p, array("I", c.ids).tobytes()) for p, c in zip(parts, coded, strict=True))
 
 
 @cache
@@ -98,10 +184,10 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, size: i
     def cut(batches):
         coder = word_ids(path)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 1000):
+            ids = batch.column(0)
+            for at, texts in slices(batch, 1, TEXT_BYTES):
                 rows = []
-                for i, coded in enumerate(coder.encode(texts[at : at + 1000]), at):
+                for i, coded in enumerate(coder.encode(texts), at):
                     coded += END.to_bytes(4, "little")
                     for piece, start in enumerate(range(0, len(coded) // 4, size)):
                         part = coded[4 * start : 4 * (start + size)]

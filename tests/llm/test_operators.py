@@ -490,3 +490,52 @@ def test_ids_of_every_letter_before_marks_and_of_random_texts():
         if np.frombuffer(ids, np.uint32).tolist() != e.ids
     ]
     assert wrong == []
+
+
+class Lookups(dict):
+    """A dictionary that counts what is looked up."""
+
+    count = 0
+
+    def __getitem__(self, key):
+        self.count += 1
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        self.count += 1
+        return super().get(key, default)
+
+
+def test_only_distinct_words_are_looked_up():
+    coder = packing.WordIds(public_tokenizers.path(packing.TOKENIZER))
+    coder.known = Lookups()
+    texts = ["one two, Three " * 10_000, "two, one"]
+    ids = coder.encode(texts)
+    assert coder.known.count < 100
+    expected = coder.model.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, np.uint32).tolist() for x in ids] == [e.ids for e in expected]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_ids_of_words_of_plain_letters(monkeypatch, collide):
+    """Equal to the tokenizer's, also when all words have one of two hashes and when known
+    words are forgotten."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 2000)
+    monkeypatch.setattr(packing, "CACHE_MARKS", 20)
+    coder, draw = packing.WordIds(public_tokenizers.path(packing.TOKENIZER)), random.Random(12)
+    assert {"a", "Z", "é", "É", "ß"} <= set(coder.plain) and "\u0130" not in coder.plain
+    if collide:
+        hasher = coder.hasher
+        coder.hasher = lambda data: (hasher(data)[0] % np.uint64(2), *hasher(data)[1:])
+    signs = packing.MARKS + "'<|>9 "
+    texts = [
+        " ".join(
+            "".join(draw.choices(coder.plain, k=draw.randint(0, 9))) + "".join(draw.choices(signs, k=draw.randint(0, 4)))
+            for _ in range(draw.randint(0, 60))
+        )
+        for _ in range(400)
+    ] + [f"{c}{c}{mark}{c}{mark} x{c}{mark}" for c in coder.plain for mark in packing.MARKS[::5]]
+    expected = coder.model.encode_batch_fast(texts, add_special_tokens=False)
+    for at in range(0, len(texts), 100):
+        ids = coder.encode(texts[at : at + 100])
+        assert [np.frombuffer(x, np.uint32).tolist() for x in ids] == [e.ids for e in expected[at : at + 100]]
